@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import encoding, lookalike, splits, terms
+from quillspark.llm import encoding, leakage, lookalike, packing, quality, splits, terms
 from quillspark.sources.tables import table
 
 
@@ -59,7 +59,27 @@ def p4_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.normalised(table(spark, d, "tasks").select("idx", "text").where("text IS NOT NULL").dropDuplicates(["idx"]))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_terms, p3_found, p3_splits, p4_found, p4_forms)}
+def p6_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.documents_packed(table(spark, d, "documents"))
+
+
+def p6_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.container_fill(p6_packed(spark, d))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return quality.not_prose(table(spark, d, "documents"), table(spark, d, "common_words"))
+
+
+def p8_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return quality.text_statistics(table(spark, d, "documents"), table(spark, d, "common_words"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_terms, p3_found, p3_splits, p4_found, p4_forms, p6_packed, p6_fill, p7_found, p8_found, p8_statistics)}
 SQL: dict[str, str] = {
     "p2_found": """
         WITH t AS (SELECT DISTINCT idx, text, font_path FROM tasks), n AS (SELECT count(DISTINCT idx) AS n FROM tasks),
