@@ -25,7 +25,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 import pandas as pd
@@ -33,10 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.lookalike import readings
+from quillspark.session import cut_lineage
 
 #: Encodings that text may have been written in, and those it may have been read in.
 WRITTEN = ("utf-8", "cp1252", "cp1251", "koi8_r", "cp866", "cp1253", "cp1255", "cp1250", "mac_roman", "cp437", "cp850", "shift_jis", "euc_jp", "gbk", "mac_cyrillic", "mac_greek")
 READ = ("cp1252", "latin_1", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp866", "cp1253", "cp1250", "mac_cyrillic", "cp1255", "cp1254")
+#: Encodings in which the bytes of UTF-8 are letters of other alphabets, so that sound words may hold the same sequences.
+FOREIGN = ("cp1251", "koi8_r", "cp866", "cp1253", "cp1255", "mac_cyrillic")
 #: Votes of different words that a wrong decoding needs.
 VOTES = 3
 #: Nats by which undoing a single-byte or East Asian decoding must make a value's words likelier, in all and for each pair of characters.
@@ -102,15 +105,43 @@ def _script(ch: str) -> int:
     return 1 if c < 0x250 else 2 if 0x370 <= c < 0x400 else 3 if 0x400 <= c < 0x530 else 4 if 0x590 <= c < 0x600 else 5 if c >= 0x3040 else 6
 
 
+class _Scripts(dict):
+    def __missing__(self, ch: str) -> int:
+        self[ch] = got = _script(ch)
+        return got
+
+
+class _Pairs(dict):
+    """Log probabilities of pairs of characters as they stand, made as they are needed. A pair of letters of two scripts counts -ONE more."""
+
+    def __init__(self, model: CharacterModel) -> None:
+        self.model = model
+
+    def __missing__(self, pair: tuple[str, str]) -> float:
+        a, b = fold(pair[0]), fold(pair[1])
+        m, sa, sb = self.model, _script(a), _script(b)
+        if sa and sb and sa != sb:
+            got = ALIEN - ONE
+        elif a not in m._after or b not in m._single:
+            # A letter that the clean text lacks, written as its neighbour is: it may belong to another language.
+            got = RARE if sa and (pair[0].islower() or pair[1].isupper()) and (pair[1].islower() or pair[0].isupper()) and not (pair[0].islower() and pair[1].isupper()) else ALIEN
+        else:
+            got = math.log(0.85 * m.pairs.get(a + b, 0) / m._after[a] + 0.15 * m._single[b] * 0.5 + 1e-6)
+        self[pair] = got
+        return got
+
+
+ONE = 1e6
+
+
 @dataclass
 class CharacterModel:
-    """Counts of neighbouring characters (case folded, digits as 0) in clean text."""
+    """Counts of neighbouring characters (case folded, digits as 0) in clean text; a blank stands around words."""
 
     pairs: dict[str, int]
-    _cache: dict[str, tuple[float, int, bool]] = field(default_factory=dict)
 
     def __getstate__(self) -> dict:
-        return {"pairs": self.pairs, "_cache": {}}  # the rest is made anew
+        return {"pairs": self.pairs}  # the rest is made anew
 
     @cached_property
     def _after(self) -> Counter:
@@ -131,37 +162,40 @@ class CharacterModel:
 
     @cached_property
     def alphabet(self) -> frozenset[str]:
-        return frozenset("".join(self.pairs))
+        low = set("".join(self.pairs)) - {" "}
+        return frozenset(low | {ch.upper() for ch in low if len(ch.upper()) == 1} | set("0123456789" if "0" in low else ""))
+
+    @cached_property
+    def _of(self) -> _Pairs:
+        return _Pairs(self)
+
+    @cached_property
+    def _scripts(self) -> _Scripts:
+        return _Scripts()
+
+    @cached_property
+    def _readable(self) -> dict[str, bool]:
+        return {}
 
     def score(self, word: str) -> tuple[float, int, bool]:
         """Log probability, number of pairs, and whether all characters are known and no two letters of different scripts meet."""
-        if (got := self._cache.get(word)) is not None:
-            return got
-        w = fold(word)
-        total, sound = 0.0, all(ch in self.alphabet for ch in w)
-        cased = word[1:].islower() or word.isupper()
-        for a, b in zip(w, w[1:], strict=False):
-            sa, sb = _script(a), _script(b)
-            if (sa and sb and sa != sb) or a not in self._after or b not in self._single:
-                # A letter that the clean text lacks, written as its neighbours are: it may belong to another language.
-                total += RARE if sa and sa == sb and cased else ALIEN
-                sound = sound and not (sa and sb and sa != sb)
-            else:
-                n = self._after[a]
-                total += math.log(0.85 * self.pairs.get(a + b, 0) / n + 0.15 * self._single[b] * 0.5 + 1e-6)
-        got = (total, max(len(w) - 1, 0), sound)
-        if len(self._cache) > 400_000:
-            self._cache.clear()
-        self._cache[word] = got
-        return got
+        total = sum(map(self._of.__getitem__, zip(word, word[1:], strict=False)))
+        sound = self.alphabet.issuperset(word)
+        if total < -ONE:
+            total, sound = total + ONE * int(-total // ONE), False
+        return total, max(len(word) - 1, 0), sound
 
     def plausible(self, word: str) -> bool:
         total, n, sound = self.score(word)
-        return sound and (n == 0 or total / n >= self._usual[next((x for ch in word if (x := _script(ch))), 0)] - BELOW_MEAN)
+        return sound and (n == 0 or total / n >= self._usual[next(filter(None, map(self._scripts.__getitem__, word)), 0)] - BELOW_MEAN)
 
     def readable(self, word: str) -> bool:
         """Plausible as it stands, or as what it looks like."""
-        return self.plausible(word) or any(all(map(self.plausible, r.split(" "))) for r in readings(word))
+        if (got := self._readable.get(word)) is None:
+            if len(self._readable) > 300_000:
+                self._readable.clear()
+            got = self._readable[word] = self.plausible(word) or any(all(map(self.plausible, r.split(" "))) for r in readings(word))
+        return got
 
     @cached_property
     def _usual(self) -> dict[int, float]:
@@ -191,103 +225,108 @@ class Restorer:
 
     model: CharacterModel
     decodings: list[tuple[str, str]]
-    _words: dict[str, list[tuple[int, str, float, int]]] = field(default_factory=dict)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_words": {}}
+        return {"model": self.model, "decodings": self.decodings}
 
-    @property
+    @cached_property
     def _wide(self) -> list[tuple[str, re.Pattern[str]]]:
-        if not hasattr(self, "_wide_patterns"):
-            self._wide_patterns = [(r, _utf8_pattern(r)) for w, r in self.decodings if w == "utf-8"]
-        return self._wide_patterns
+        return [(r, _utf8_pattern(r)) for w, r in self.decodings if w == "utf-8"]
+
+    @cached_property
+    def _telling(self) -> re.Pattern[str] | None:
+        """Sequences that alone tell of a wrong decoding: those that don't begin with letters of another alphabet."""
+        own = [p.pattern for r, p in self._wide if r not in FOREIGN]
+        return re.compile("|".join(own)) if own else None
+
+    @cached_property
+    def _narrow(self) -> list[tuple[int, str, str]]:
+        return [(k, w, r) for k, (w, r) in enumerate(self.decodings) if w != "utf-8"]
 
-    def _readable(self, ch: str) -> bool:
-        return ch in self.model.alphabet or ch.lower() in self.model.alphabet or 0x2010 <= ord(ch) <= 0x20CF or 0xA0 <= ord(ch) <= 0xFF
+    @cached_property
+    def _seen(self) -> dict[str, list[tuple[int, float, int]]]:
+        return {}
+
+    def _known(self, ch: str) -> bool:
+        return ch in self.model.alphabet or 0x2010 <= ord(ch) <= 0x20CF or 0xA0 <= ord(ch) <= 0xFF
 
     def _unread_utf8(self, word: str) -> str | None:
         """The word with UTF-8 sequences undone, if it holds any, once or twice."""
         best = None
+        beyond = sum(c > "\x7f" for c in word)
         for read, pattern in self._wide:
-            beyond = sum(map(len, re.findall(r"[^\x00-\x7f]+", word)))
             covered, fits = 0, True
             for m in pattern.finditer(word):
                 made = undo(m[0], "utf-8", read)
-                if made is None or not (self._readable(made) or self._once_more(made)):
+                if made is None or not (self._known(made) or made in _decoded("cp1252")):
                     fits = False
                     break
                 covered += sum(c > "\x7f" for c in m[0])
-            if fits and covered and covered >= (beyond if read in ("cp1251", "koi8_r", "cp866", "cp1253", "cp1255", "mac_cyrillic") else 0.6 * beyond):
-                made = pattern.sub(lambda m, read=read: undo(m[0], "utf-8", read) or m[0], word)
-                if best is None or covered > best[0]:
-                    best = (covered, made)
-        if best is None:
+            if fits and covered and covered >= (beyond if read in FOREIGN else 0.6 * beyond) and (best is None or covered > best[0]):
+                best = (covered, pattern.sub(lambda m, read=read: undo(m[0], "utf-8", read) or m[0], word))
+        if best is None or best[1] == word:
             return None
-        return self._unread_utf8(best[1]) or best[1] if best[1] != word else None
-
-    @staticmethod
-    def _once_more(ch: str) -> bool:
-        """A character that is part of text decoded wrongly twice."""
-        return ord(ch) < 0x100 or ch in _decoded("cp1252")
+        return self._unread_utf8(best[1]) or best[1]
 
-    def _candidates(self, word: str) -> list[tuple[int, str, float, int]]:
-        """(decoding, restored word, gain, pairs) of an implausible word."""
-        if (got := self._words.get(word)) is not None:
+    def _candidates(self, word: str) -> list[tuple[int, float, int]]:
+        """(decoding, gain, pairs) for an implausible word."""
+        if (got := self._seen.get(word)) is not None:
             return got
         got = []
         score = self.model.score
-        if not word.isascii() and not self.model.readable(word):
-            old = max(score(w)[0] for w in [word, *readings(word)])
-            for k, (written, read) in enumerate(self.decodings):
-                if written == "utf-8":
-                    continue
-                new = undo(word, written, read)
-                if new is not None and new != word and self.model.plausible(new) and (n := score(new)[1]):
-                    got.append((k, new, score(new)[0] - old, n))
-        if len(self._words) > 200_000:
-            self._words.clear()
-        self._words[word] = got
+        old = max(score(w)[0] for w in [word, *(r for r in readings(word) if score(r)[2])])
+        for k, written, read in self._narrow:
+            new = undo(word, written, read)
+            if new is not None and new != word and self.model.plausible(new) and (n := score(new)[1]):
+                got.append((k, score(new)[0] - old, n))
+        if len(self._seen) > 100_000:
+            self._seen.clear()
+        self._seen[word] = got
         return got
 
     def restore(self, text: str | None) -> tuple[bool, str | None]:
         """(is a case, the text as far as it can be restored)."""
         if text is None or text.isascii():
             return False, text
-        pieces = re.split("([ /_\\\\])", text)
-        case, lost, out = CONTROL.search(text) is not None, 0, list(pieces)
-        for k, w in enumerate(pieces):
-            if not w.isascii() and (made := self._unread_utf8(w)) is not None:
-                if self._sound_enough(w, made):
-                    out[k], case = made, True
-                    lost += 1
-        if not lost or case and CONTROL.search("".join(out)):
+        pieces = _PIECES.split(text)
+        readable = self.model.readable
+        telling = self._telling.search if self._telling is not None and self._telling.search(text) else lambda w: None
+        odd = [k for k, w in enumerate(pieces) if not w.isascii() and (not readable(w) or telling(w))]
+        case = CONTROL.search(text) is not None
+        if not odd:
+            return case, text
+        out = list(pieces)
+        for k in odd:
+            if (made := self._unread_utf8(pieces[k])) is not None:
+                out[k] = made
+        if out != pieces:
+            case = True
+            for k, w in enumerate(pieces):  # words that are readable by chance, too
+                if out[k] is w and not w.isascii() and (made := self._unread_utf8(w)) is not None and self.model.plausible(made):
+                    out[k] = made
+        else:
             gains: dict[int, float] = defaultdict(float)
             pairs: dict[int, int] = defaultdict(int)
-            for k, w in enumerate(out):
-                for c, _, gain, n in self._candidates(w):
+            for k in odd:
+                for c, gain, n in self._candidates(pieces[k]):
                     gains[c] += gain
                     pairs[c] += n
-            if gains:
-                best = max(gains, key=lambda c: (gains[c], -c))
-                if gains[best] >= GAIN and gains[best] >= GAIN_PER_PAIR * pairs[best]:
-                    case = True
-                    for k, w in enumerate(out):  # words that are plausible by chance, too
-                        new = undo(w, *self.decodings[best])
-                        if new is not None and self.model.plausible(new) and self.model.score(new)[0] > self.model.score(w)[0]:
-                            out[k] = new
-            if case and CONTROL.search("".join(out)):  # encodings of more bytes, whose bytes may lie in ASCII
-                for written, read in self.decodings:
-                    new = undo(text, written, read)
-                    if new is not None and new != text and all(self._readable(c) for c in new if c > "\x7f"):
-                        return True, new
+            best = max(gains, key=lambda c: (gains[c], -c), default=None)
+            if best is not None and gains[best] >= GAIN and gains[best] >= GAIN_PER_PAIR * pairs[best]:
+                case = True
+                for k, w in enumerate(pieces):
+                    new = None if w.isascii() else undo(w, *self.decodings[best])
+                    if new is not None and self.model.plausible(new) and self.model.score(new)[0] > self.model.score(w)[0]:
+                        out[k] = new
+        if case and CONTROL.search("".join(out)):  # encodings of more bytes, whose bytes may lie in ASCII
+            for _, written, read in self._narrow:
+                new = undo(text, written, read)
+                if new is not None and new != text and all(self._known(c) for c in new if c > "\x7f"):
+                    return True, new
         return case, "".join(out)
 
-    def _sound_enough(self, word: str, made: str) -> bool:
-        """Undoing must not turn a plausible word into a less plausible one."""
-        old, new = self.model.score(word), self.model.score(made)
-        if self.model.plausible(word) and old[1]:
-            return new[1] > 0 and new[0] / new[1] > old[0] / old[1] + GAIN_PER_PAIR
-        return True
+
+_PIECES = re.compile(r"([ /_\\])")
 
 
 def _words_of(text: F.Column, at: str = r"[ \n\r\t/_\\]+") -> F.Column:
@@ -355,7 +394,7 @@ def learn(examined: list[tuple[DataFrame, str]], references: list[tuple[DataFram
         for pdf in batches:
             yield pdf[[not model.readable(w) for w in pdf["word"]]]
 
-    suspects = words(examined).mapInPandas(odd, "word string, skeleton string")
+    suspects = cut_lineage(words(examined).mapInPandas(odd, "word string, skeleton string"))
     clean = words(references)
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -373,6 +412,7 @@ def learn(examined: list[tuple[DataFrame, str]], references: list[tuple[DataFram
             yield pd.DataFrame(rows, columns=["word", "written", "read", "sound"])
 
     far = suspects.where(F.length("skeleton") < 3).mapInPandas(undone, "word string, written string, read string, sound boolean").distinct()
+    far = cut_lineage(far)
     known = far.where("sound").unionAll(far.where("NOT sound").join(clean.select("word"), "word", "left_semi")).groupBy("written", "read").agg(F.count("*").alias("n"))
     got = twins.mapInPandas(vote, "written string, read string, n long").unionByName(known.select("written", "read", F.col("n").cast("long").alias("n"))).groupBy("written", "read").agg(F.sum("n").alias("n")).where(F.col("n") >= votes).collect()
     return Restorer(model, [(r["written"], r["read"]) for r in sorted(got, key=lambda r: (-r["n"], r["written"], r["read"]))])
