@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm import encoding, leakage, lookalike, packing, quality, splits, terms
+from quillspark.session import cut_lineage
 from quillspark.sources.tables import table
 
 
@@ -50,7 +51,7 @@ def p3_splits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    groups = lookalike.lookalike_groups(table(spark, d, "tasks"))
+    groups = cut_lineage(lookalike.lookalike_groups(table(spark, d, "tasks")))  # few rows; else the filter would be moved to all of them
     sound = groups.where(~encoding.is_damaged(F.col("text"), restorer(spark, d)))
     return lookalike.lookalike_pairs(sound)
 
