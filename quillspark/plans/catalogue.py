@@ -2,31 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from quillspark.plans import files, relational
 
-from pyspark.sql import DataFrame, SparkSession
-
-from quillspark.operators import compaction
-from quillspark.sources.tables import table
-
-
-def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return compaction.same_record_pairs(table(spark, d, "label_files"))
-
-
-def p5_manifest(spark: SparkSession, d: str) -> DataFrame:
-    return compaction.manifest(table(spark, d, "label_files"))
-
-
-def p5_containers(spark: SparkSession, d: str) -> DataFrame:
-    return compaction.containers(table(spark, d, "label_files")).drop("data")
-
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p5_found, p5_manifest, p5_containers)}
-SQL: dict[str, str] = {
-    "p5_found": """
-        WITH f AS (SELECT DISTINCT file_id, CAST(label_json AS JSON) AS j FROM label_files WHERE trim(label_json) <> ''),
-        r AS (SELECT file_id, list_sort(list_transform(json_keys(j), k -> k || '=' || regexp_replace(CAST(j -> ('$."' || k || '"') AS VARCHAR), '\\s', '', 'g'))) AS rec FROM f),
-        g AS (SELECT file_id, array_to_string(rec, ';') AS rec FROM r)
-        SELECT a.file_id AS file_id_a, b.file_id AS file_id_b FROM g a JOIN g b ON a.rec = b.rec AND a.file_id < b.file_id""",
-}
+MODULES = (files, relational)
+QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+SQL = {k: v for m in MODULES for k, v in m.SQL.items()}
