@@ -53,33 +53,38 @@ def _one(ch: str) -> str:
     return ch
 
 
-@lru_cache
-def _tables() -> tuple[dict[int, str], dict[int, str]]:
-    """Character maps for str.translate: before and after composition."""
-    ranges = ((0, 0x3400), (0xA000, 0xAC00), (0xF900, 0x10000), (0x1B000, 0x1F200), (0xE0000, 0xE1000))
-    plain = {c: x for a, b in ranges for c in range(a, b) if (x := _one(chr(c))) != chr(c)}
-    shape = {ord(d): latin for latin, doubles in SAME_SHAPE.items() for d in doubles}
-    return plain, shape
+class _Map(dict):
+    """A character map for str.translate that fills itself; a missing key would be an exception for each character."""
 
+    def __init__(self, shape: dict[int, str]) -> None:
+        self.shape = shape
 
-def visible_form(text: str) -> str:
-    """Equal for texts that look the same when set in type."""
-    plain, shape = _tables()
-    text = text.translate(plain)
-    # Letters are compared without their marks, so a composed double (й, ї, ό) needs the decomposed form.
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(shape))
+    def __missing__(self, c: int) -> str:
+        # Letters are compared without their marks, so a composed double (й, ї, ό) needs the decomposed form.
+        bare = unicodedata.normalize("NFD", _one(chr(c))).translate(self.shape)
+        self[c] = got = unicodedata.normalize("NFC", bare)
+        return got
+
+
+@lru_cache
+def _visible() -> _Map:
+    return _Map({ord(d): latin for latin, doubles in SAME_SHAPE.items() for d in doubles})
 
 
 @lru_cache
-def _scripts() -> list[dict[int, str]]:
+def _scripts() -> list[_Map]:
     """For Latin, Cyrillic and Greek: letters of the same shape brought into that script."""
     groups = [[latin, *doubles] for latin, doubles in SAME_SHAPE.items()]
-    return [{ord(x): own[0] for g in groups if (own := [x for x in g if unicodedata.name(x).startswith(script)]) for x in g if x != own[0]} for script in ("LATIN", "CYRILLIC", "GREEK")]
+    return [_Map({ord(x): own[0] for g in groups if (own := [x for x in g if unicodedata.name(x).startswith(script)]) for x in g if x != own[0]}) for script in ("LATIN", "CYRILLIC", "GREEK")]
+
+
+def visible_form(text: str) -> str:
+    """Equal for texts that look the same when set in type."""
+    return unicodedata.normalize("NFC", text.translate(_visible()))
 
 
 def readings(text: str) -> list[str]:
     """What a reader may take text for: its visible form with the letters of the same shape in one script."""
-    text = unicodedata.normalize("NFD", text.translate(_tables()[0]))
     return [unicodedata.normalize("NFC", text.translate(m)) for m in _scripts()]
 
 
