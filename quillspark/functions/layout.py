@@ -63,40 +63,55 @@ def extent(text: Column, size: Column, overlap: Column) -> Column:
     return whole(kept(total(widths(text, size)), overlap) + 2 * MARGIN)
 
 
-def _placed(text: Column, size: Column, box: Callable[[Column, Column, Column], Column], backward: Column | None = None) -> Column:
-    """box(i, sum before, width) for each character; where backward, the text is placed from its end, but listed in its order."""
-    w = widths(text, size)
-    if backward is None:
-        before = running(w)
-        return F.transform(w, lambda x, i: box(i, F.get(before, i), x))
-    all_ = total(w)
-    before = running(w)
-    return F.transform(w, lambda x, i: box(i, F.when(backward, all_ - F.get(before, i) - x).otherwise(F.get(before, i)), x))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often and in whatever lambda it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _laid_out(text: Column, size: Column, backward: Column | None, box: Callable[[Column, Column, Column, Column, Column], Column]) -> Column:
+    """box(position, character, width, width before it, facts) for each character, facts being ``n, total, widest``.
+
+    Where backward, the text is placed from its end, but listed in its order.
+    """
+
+    def sums(w: Column) -> Column:
+        n = F.size(w)
+        forth = F.slice(running(w), F.lit(1), n)
+        return forth if backward is None else F.when(backward, F.reverse(F.slice(running(F.reverse(w)), F.lit(1), n))).otherwise(forth)
+
+    def over(s: Column) -> Column:
+        glyphs = F.zip_with(F.zip_with(s["c"], s["w"], lambda c, w: F.struct(c.alias("c"), w.alias("w"))), sums(s["w"]), lambda g, b: F.struct(g["c"].alias("c"), g["w"].alias("w"), b.alias("b")))
+        facts = F.struct(F.size(s["w"]).alias("n"), total(s["w"]).alias("total"), F.array_max(s["w"]).alias("widest"))
+        return let(facts, lambda k: F.transform(glyphs, lambda g, i: box(i, g["c"], g["w"], g["b"], k)))
+
+    return let(chars(text), lambda c: let(F.struct(c.alias("c"), F.transform(c, lambda x: advance(x, size)).alias("w")), over))
+
+
+def _box(i: Column, c: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    return F.struct(i.alias("char_pos"), c.alias("char"), *(x.cast("bigint").alias(n) for n, x in zip(("x0", "y0", "x1", "y1"), (x0, y0, x1, y1), strict=True)))
 
 
 def straight(text: Column, size: Column, overlap: Column, backward: Column | None = None) -> Column:
     """Boxes of a horizontal line; backward for right-to-left text."""
-    c, h = chars(text), height(size)
 
-    def box(i: Column, before: Column, w: Column) -> Column:
+    def box(i: Column, c: Column, w: Column, before: Column, _: Column) -> Column:
         x = F.lit(MARGIN) + kept(before, overlap)
-        return F.struct(i.alias("char_pos"), F.get(c, i).alias("char"), whole(x).alias("x0"), F.lit(MARGIN).cast("bigint").alias("y0"), whole(x + w).alias("x1"), (h + MARGIN).alias("y1"))
+        return _box(i, c, whole(x), F.lit(MARGIN), whole(x + w), height(size) + MARGIN)
 
-    return _placed(text, size, box, backward)
+    return _laid_out(text, size, backward, box)
 
 
 def vertical(text: Column, size: Column, overlap: Column, upward: Column) -> Column:
     """Boxes of a vertical line, downward or upward; characters are centred."""
-    c, h, w = chars(text), height(size), widths(text, size)
-    wide = F.array_max(w) + 2 * MARGIN
-    tall = whole(kept(F.size(c) * h, overlap) + 2 * MARGIN)
+    h = height(size)
 
-    def box(x: Column, i: Column) -> Column:
-        left = (wide - x) / 2.0
+    def box(i: Column, c: Column, w: Column, _: Column, k: Column) -> Column:
+        left = (k["widest"] + 2 * MARGIN - w) / 2.0
+        tall = whole(kept(k["n"] * h, overlap) + 2 * MARGIN)
         top = F.when(upward, tall - MARGIN - kept((i + 1) * h, overlap)).otherwise(MARGIN + kept(i * h, overlap))
-        return F.struct(i.alias("char_pos"), F.get(c, i).alias("char"), whole(left).alias("x0"), whole(top).alias("y0"), whole(left + x).alias("x1"), whole(top + h).alias("y1"))
+        return _box(i, c, whole(left), whole(top), whole(left + w), whole(top + h))
 
-    return F.transform(w, box)
+    return _laid_out(text, size, None, box)
 
 
 def _turned(cx: Column, cy: Column, w: Column, h: Column, degrees: Column) -> tuple[Column, Column, Column, Column]:
@@ -106,53 +121,62 @@ def _turned(cx: Column, cy: Column, w: Column, h: Column, degrees: Column) -> tu
     return cx - dx, cy - dy, cx + dx, cy + dy
 
 
-def _curve_box(i: Column, ch: Column, bounds: tuple[Column, ...], cx: Column, cy: Column, degrees: Column) -> Column:
-    named = [b.alias(n) for n, b in zip(("x0", "y0", "x1", "y1"), bounds, strict=True)]
-    return F.struct(i.alias("char_pos"), ch.alias("char"), cx.alias("cx"), cy.alias("cy"), degrees.alias("degrees"), *named)
+def _curve_box(i: Column, ch: Column, w: Column, h: Column, cx: Column, cy: Column, degrees: Column) -> Column:
+    def around(p: Column) -> Column:
+        named = [b.alias(n) for n, b in zip(("x0", "y0", "x1", "y1"), _turned(p["cx"], p["cy"], w, h, p["degrees"]), strict=True)]
+        return F.struct(i.alias("char_pos"), ch.alias("char"), p["cx"].alias("cx"), p["cy"].alias("cy"), p["degrees"].alias("degrees"), *named)
+
+    return let(F.struct(cx.alias("cx"), cy.alias("cy"), degrees.alias("degrees")), around)
 
 
 def arc(text: Column, size: Column, overlap: Column, direction: Column, radius: Column, concave: Column) -> Column:
     """Exact boxes along a circle, before they are cut to whole pixels (see ``cropped``)."""
-    c, h = chars(text), height(size)
+    h = height(size)
     centre = F.floor(radius * 2 + h + 2 * ARC_MARGIN) / 2.0
-    span = kept(total(widths(text, size)), overlap) / radius
     half_pi = 1.5707963267948966
-    start = F.when(direction.isin(*HORIZONTAL), F.when(concave, half_pi + span / 2.0).otherwise(-half_pi - span / 2.0)).otherwise(F.when(concave, F.lit(2 * half_pi)).otherwise(F.lit(0.0)))
 
-    def box(i: Column, before: Column, w: Column) -> Column:
+    def box(i: Column, c: Column, w: Column, before: Column, k: Column) -> Column:
+        span = kept(k["total"], overlap) / radius
+        start = F.when(direction.isin(*HORIZONTAL), F.when(concave, half_pi + span / 2.0).otherwise(-half_pi - span / 2.0)).otherwise(F.when(concave, F.lit(2 * half_pi)).otherwise(F.lit(0.0)))
         angle = start - (kept(before, overlap) + w / 2.0) / radius
-        cx, cy = centre + radius * F.cos(angle), centre - radius * F.sin(angle)
-        degrees = -(angle * DEG + 90.0) + F.when(concave, 0.0).otherwise(180.0)
-        return _curve_box(i, F.get(c, i), _turned(cx, cy, w, h, degrees), cx, cy, degrees)
+        return let(angle, lambda a: _curve_box(i, c, w, h, centre + radius * F.cos(a), centre - radius * F.sin(a), -(a * DEG + 90.0) + F.when(concave, 0.0).otherwise(180.0)))
 
-    return _placed(text, size, box, direction.isin(*BACKWARD))
+    return _laid_out(text, size, direction.isin(*BACKWARD), box)
 
 
 def sine(text: Column, size: Column, overlap: Column, direction: Column, amplitude: Column, frequency: Column, phase: Column) -> Column:
     """Exact boxes along a wave, before they are cut to whole pixels."""
-    c, h, w_all = chars(text), height(size), widths(text, size)
+    h = height(size)
     flat = direction.isin(*HORIZONTAL)
     buffer = F.floor(amplitude * 2) + SINE_MARGIN
-    middle_y, middle_x = (h + 2 * buffer) / 2.0, (F.array_max(w_all) + 2 * buffer) / 2.0
 
-    def box(i: Column, before: Column, w: Column) -> Column:
+    def box(i: Column, c: Column, w: Column, before: Column, k: Column) -> Column:
         at = kept(before, overlap)
         t = frequency * (at + w / 2.0) + phase
         off = amplitude * F.sin(t)
         degrees = -F.atan(amplitude * frequency * F.cos(t)) * DEG
-        cx = F.when(flat, F.floor(SINE_MARGIN + at)).otherwise(F.floor(middle_x - F.array_max(w_all) / 2.0 + off)) + w / 2.0
+        middle_y, middle_x = (h + 2 * buffer) / 2.0, (k["widest"] + 2 * buffer) / 2.0
+        cx = F.when(flat, F.floor(SINE_MARGIN + at)).otherwise(F.floor(middle_x - k["widest"] / 2.0 + off)) + w / 2.0
         cy = F.when(flat, F.floor(middle_y - h / 2.0 + off)).otherwise(F.floor(SINE_MARGIN + at)) + h / 2.0
-        return _curve_box(i, F.get(c, i), _turned(cx, cy, w, h, degrees), cx, cy, degrees)
+        return _curve_box(i, c, w, h, cx, cy, degrees)
 
-    return _placed(text, size, box, direction.isin(*BACKWARD))
+    return _laid_out(text, size, direction.isin(*BACKWARD), box)
 
 
 def cropped(boxes: Column) -> Column:
     """Boxes cut to whole pixels and moved so that they begin CROP pixels from the edge."""
-    ints = F.transform(boxes, lambda b: F.struct(b["char_pos"].alias("char_pos"), b["char"].alias("char"), *(F.greatest(F.lit(0), b[n].cast("bigint")).alias(n) for n in ("x0", "y0", "x1", "y1"))))
+    return let(_whole_boxes(boxes), _moved_to_edge)
+
+
+def _whole_boxes(boxes: Column) -> Column:
+    return F.transform(boxes, lambda b: F.struct(b["char_pos"].alias("char_pos"), b["char"].alias("char"), *(F.greatest(F.lit(0), b[n].cast("bigint")).alias(n) for n in ("x0", "y0", "x1", "y1"))))
+
+
+def _moved_to_edge(ints: Column) -> Column:
     left = F.greatest(F.lit(0), F.array_min(F.transform(ints, lambda b: b["x0"])) - CROP)
     top = F.greatest(F.lit(0), F.array_min(F.transform(ints, lambda b: b["y0"])) - CROP)
-    return F.transform(ints, lambda b: F.struct(b["char_pos"].alias("char_pos"), b["char"].alias("char"), (b["x0"] - left).alias("x0"), (b["y0"] - top).alias("y0"), (b["x1"] - left).alias("x1"), (b["y1"] - top).alias("y1")))
+    edge = F.struct(left.alias("x"), top.alias("y"))
+    return let(edge, lambda e: F.transform(ints, lambda b: _box(b["char_pos"], b["char"], b["x0"] - e["x"], b["y0"] - e["y"], b["x1"] - e["x"], b["y1"] - e["y"])))
 
 
 def line_height(size: Column, spacing_percent: Column) -> Column:
@@ -171,31 +195,31 @@ def aligned(alignment: Column, room: Column, used: Column, centre: str = "center
 def line_positions(lines: Column, size: Column, spacing: Column, alignment: Column, direction: Column) -> Column:
     """(x, y) of each line, relative to the block."""
     flat = direction.isin(*HORIZONTAL)
-    long = F.transform(lines, lambda x: F.when(flat, total(widths(x, size))).otherwise(F.length(x) * height(size)))
-    room = F.array_max(long)
 
-    def at(n: Column, i: Column) -> Column:
+    def at(n: Column, i: Column, room: Column) -> Column:
         step = i * F.when(flat, line_height(size, spacing)).otherwise(line_step(size, spacing))
         side = F.when(flat & alignment.isin("top", "bottom") | ~flat & alignment.isin("left", "right"), 0).otherwise(aligned(alignment, room, n)).cast("bigint")
         return F.struct(F.when(flat, side).otherwise(step).alias("x"), F.when(flat, step).otherwise(side).alias("y"))
 
-    return F.transform(long, at)
+    long = F.transform(lines, lambda x: F.when(flat, total(widths(x, size))).otherwise(F.length(x) * height(size)))
+    return let(long, lambda ns: let(F.array_max(ns), lambda room: F.transform(ns, lambda n, i: at(n, i, room))))
 
 
 def multiline(lines: Column, size: Column, overlap: Column, spacing: Column, alignment: Column) -> Column:
     """Boxes of horizontal lines with their line_index; empty lines have none but keep their place."""
     wide = F.transform(lines, lambda x: F.when(x == "", F.lit(0).cast("bigint")).otherwise(extent(x, size, overlap)))
-    room = F.array_max(wide)
 
-    def line(x: Column, i: Column) -> Column:
-        dx = F.when(alignment.isin("top", "bottom"), 0).otherwise(aligned(alignment, room, F.get(wide, i))).cast("bigint")
-        dy = i * line_height(size, spacing)
+    def line(x: Column, i: Column, wide: Column) -> Column:
+        moved = F.struct(F.when(alignment.isin("top", "bottom"), 0).otherwise(aligned(alignment, F.array_max(wide), F.get(wide, i))).cast("bigint").alias("dx"), (i * line_height(size, spacing)).alias("dy"))
+        return let(moved, lambda m: boxes(x, i, m["dx"], m["dy"]))
+
+    def boxes(x: Column, i: Column, dx: Column, dy: Column) -> Column:
         return F.transform(
             straight(x, size, overlap),
             lambda b: F.struct(i.alias("line_index"), b["char_pos"].alias("char_pos"), b["char"].alias("char"), (b["x0"] + dx).alias("x0"), (b["y0"] + dy).alias("y0"), (b["x1"] + dx).alias("x1"), (b["y1"] + dy).alias("y1")),
         )
 
-    return F.flatten(F.transform(lines, line))
+    return let(wide, lambda ws: F.flatten(F.transform(lines, lambda x, i: line(x, i, ws))))
 
 
 def block_size(lines: Column, size: Column, overlap: Column, spacing: Column, direction: Column) -> Column:
