@@ -28,6 +28,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -392,7 +393,7 @@ def learn(examined: list[tuple[DataFrame, str]], references: list[tuple[DataFram
     def odd(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Words that aren't plausible as they stand, as only these can be cases."""
         for pdf in batches:
-            yield pdf[[not model.readable(w) for w in pdf["word"]]]
+            yield pdf[np.array([not model.readable(w) for w in pdf["word"]], bool)]
 
     suspects = cut_lineage(words(examined).mapInPandas(odd, "word string, skeleton string"))
     clean = words(references)
@@ -435,7 +436,7 @@ def is_damaged(text: F.Column, by: Restorer) -> F.Column:
 
     @F.pandas_udf("boolean")
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: by.restore(t)[0])
+        return pd.Series([by.restore(t)[0] for t in texts], dtype=bool)
 
     return F.coalesce(run(text), F.lit(False))
 

@@ -97,7 +97,8 @@ def _per_distinct(of) -> object:  # noqa: ANN001
     @F.pandas_udf(T.StringType())
     def run(texts: pd.Series) -> pd.Series:
         distinct = texts.dropna().unique()
-        return texts.map(dict(zip(distinct, map(of, distinct), strict=True)))
+        forms = dict(zip(distinct, map(of, distinct), strict=True))
+        return pd.Series([forms.get(t) for t in texts], dtype=object)
 
     return run
 

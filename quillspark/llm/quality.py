@@ -116,7 +116,7 @@ def _sentence_like(unit: str, common: frozenset[str] | None, listed: bool) -> bo
     if letters < 0.72 * solid or letters > 16 * n:
         return False
     share = (sum(len(w) <= 3 for w in words) if common is None else sum(map(common.__contains__, words))) / n
-    if not 0.12 <= share <= 0.66:
+    if not 0.12 <= share <= (0.62 if common is None else 0.75):
         return False
     if n >= 12 and max(Counter(words).values()) > 0.34 * n:
         return False

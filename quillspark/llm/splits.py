@@ -17,6 +17,7 @@ repeated records count once; a share table without rows is an error; ties betwee
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def right_names(names: DataFrame, col: str, known: DataFrame, known_col: str, by
 
         @F.pandas_udf("string")
         def mend(v):  # noqa: ANN001, ANN202
-            return v.map(lambda t: by.restore(t)[1])
+            return pd.Series([by.restore(t)[1] for t in v], dtype=object)
 
         values = values.withColumn("mended", F.when(F.col(col).rlike(r"[^\x00-\x7F]"), mend(F.col(col))).otherwise(F.col(col)))
     else:
