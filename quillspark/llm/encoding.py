@@ -347,7 +347,7 @@ def character_model(clean: DataFrame, text_col: str) -> CharacterModel:
             w = fold(w)
             for a, b in zip(" " + w, w + " ", strict=True):
                 pairs[a + b] += n
-        yield pd.DataFrame({"pair": list(pairs), "n": list(pairs.values())})
+        yield pd.DataFrame(list(pairs.items()), columns=["pair", "n"])
 
     rows = clean.select(F.col(text_col).alias("text")).where("text IS NOT NULL").mapInPandas(count, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
     return CharacterModel({r["pair"]: r["n"] for r in rows})
