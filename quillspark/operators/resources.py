@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.draws import uniform
+from quillspark.functions.layout import let
 
 START, BEST, GAIN, LOSS, HEALTHY = 100, 100, 1, 10, 50
 #: The most resources whose weights are held by every task.
@@ -54,8 +55,9 @@ def is_image(path: Column) -> Column:
 
 
 def _steps(outcomes: DataFrame, block: int) -> DataFrame:
-    known = outcomes.where("resource_id IS NOT NULL AND seq IS NOT NULL AND ok IS NOT NULL").select("resource_id", "seq", "ok", "recorded_at").distinct()
-    return known.withColumn("step", F.when(F.col("ok"), GAIN).otherwise(-LOSS)).withColumn("block", F.floor(F.col("seq") / block))
+    """Distinct outcomes with their step and block, partitioned by resource and block, so that all that follows needs no other shuffle."""
+    known = outcomes.where("resource_id IS NOT NULL AND seq IS NOT NULL AND ok IS NOT NULL").select("resource_id", F.floor(F.col("seq") / block).alias("block"), "seq", "ok", "recorded_at")
+    return known.repartition("resource_id", "block").distinct().withColumn("step", F.when(F.col("ok"), GAIN).otherwise(-LOSS))
 
 
 def health_scores(outcomes: DataFrame, block: int = 4096) -> DataFrame:
@@ -115,4 +117,5 @@ def weighted_pick(rows: DataFrame, key: str, resources: DataFrame, tag: str, out
         ends.append(total)
     spans = rows.sparkSession.createDataFrame([([r["resource_id"] for r in some], ends)], "names array<string>, ends array<bigint>")
     at = F.floor(uniform(F.col(key), tag) * float(total)).cast("bigint")
-    return rows.join(F.broadcast(spans)).withColumn(out, F.get("names", F.size(F.filter("ends", lambda e: e <= at)))).drop("names", "ends")
+    place = let(at, lambda a: F.size(F.filter("ends", lambda e: e <= a)))  # the draw is made once, not for each resource
+    return rows.join(F.broadcast(spans)).withColumn(out, F.get("names", place)).drop("names", "ends")
