@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Writes df to the shared checkpoint folder, so that a lost executor costs no recomputation of what went before."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package known to the executors' Python workers, wherever they run; once for each Spark context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quillspark_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    to = os.path.join(tempfile.mkdtemp(prefix="quillspark-"), "quillspark.zip")
+    with zipfile.ZipFile(to, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("quillspark", os.path.relpath(full, root)))
+    sc.addPyFile(to)
+    sc._quillspark_shipped = True
