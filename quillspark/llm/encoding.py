@@ -43,8 +43,9 @@ READ = ("cp1252", "latin_1", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r",
 FOREIGN = ("cp1251", "koi8_r", "cp866", "cp1253", "cp1255", "mac_cyrillic")
 #: Votes of different words that a wrong decoding needs.
 VOTES = 3
-#: Nats by which undoing a single-byte or East Asian decoding must make a value's words likelier, in all and for each pair of characters.
-GAIN, GAIN_PER_PAIR = 7.0, 1.2
+#: Nats by which undoing a single-byte or East Asian decoding must make a value's words likelier, in all and for each pair of
+#: characters: a small gain must be concentrated, a large one may be spread over a long word.
+GAINS = ((6.0, 2.0), (7.0, 0.85))
 #: Nats by which the mean log probability of a plausible word's pairs may lie below that of clean text in its script.
 BELOW_MEAN = 2.4
 #: Log probability of a pair with an unknown letter of the same script, and of one that no language has.
@@ -313,7 +314,7 @@ class Restorer:
                     gains[c] += gain
                     pairs[c] += n
             best = max(gains, key=lambda c: (gains[c], -c), default=None)
-            if best is not None and gains[best] >= GAIN and gains[best] >= GAIN_PER_PAIR * pairs[best]:
+            if best is not None and any(gains[best] >= whole and gains[best] >= each * pairs[best] for whole, each in GAINS):
                 case = True
                 for k, w in enumerate(pieces):
                     new = None if w.isascii() else undo(w, *self.decodings[best])
