@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 
 #: The most words that the table of common words may have to be sent to the executors.
 MAX_COMMON = 100_000
+#: Words that lines up to a stop may have to be taken for one sentence.
+SENTENCE = 45
 SCHEMA = (
     "doc_id long, n_words long, mean_word_length double, symbol_ratio double, digit_ratio double, n_lines long, punctuated_line_share double, common_word_share double, "
     "duplicate_line_share double, duplicate_paragraph_share double, top_bigram_share double, top_trigram_share double, prose_share double, is_prose boolean"
@@ -41,8 +43,10 @@ SCHEMA = (
 _TAG = re.compile(r"</?(?:b|i|u|em|strong|a|p|br|span|sup|sub|code|h\d)(?:\s[^<>]*)?/?>")
 _PAIRED = re.compile(r"(?<![\w*_])([*_]{1,2})(?=[^\W_])([^*_\n]{1,60}?)\1(?![\w*_])|\[([^\W\d_][^\[\]\n]{0,60})\](?!\()")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-_BULLET = re.compile(r"^\s*(?:[•*–·▪>+-]|\(?\d{1,4}[.)]|\(\d{1,4}\))\s+")
+_BULLET = re.compile(r"^\s*(?:[•*–·▪+-]|\(?\d{1,4}[.)]|\(\d{1,4}\))\s+")
 _ENDS = re.compile(r"[.!?…。:;,\"”»’)]\s*$")
+_QUOTED = re.compile(r"^(?:> ?)+")
+_CLOSED = re.compile(r"[.!?…。:;][\"”»’)]*\s*$")
 _STOP = re.compile(r"[.!?…。]+[\"”»’)]*(?:\s|$)")
 _ODD = re.compile(r"[#§<>=~{}|*^%¦_$&@\\+�]|[\x00-\x08\x0e-\x1f\x7f-\x9f]")
 _LEADERS = ("....", "____", "----", "====", "****", "~~~~", "####", "||||")
@@ -71,7 +75,7 @@ def _structured(line: str) -> bool:
     if (x.count(",") >= 2 or x.count(";") >= 2) and _CELLS.search(x):
         return True
     if " " not in x:
-        return ("." in x or "/" in x or "\\" in x) and bool(_FILE.search(x))
+        return len(x) > 40 and x.isascii() or ("." in x or "/" in x or "\\" in x) and bool(_FILE.search(x))
     return any(x.count(m) >= 3 for m in _MENU)
 
 
@@ -139,17 +143,32 @@ def _units(block: list[str]) -> list[tuple[str, int, bool]]:
     bullets = [bool(_BULLET.match(x)) for x in block]
     lengths = [len(x.rstrip()) for x in block]
     width = max(lengths)
-    full = sum(a + 1 + len(b.split(" ", 1)[0]) > width for a, b in zip(lengths, block[1:], strict=False))
-    flowing = sum(bullets) <= 1 and full >= 0.8 * (len(block) - 1)
-    # Where every line begins in lower case and none has a stop, that tells nothing.
+    # Lines without a stop are filled up to one width, where text is broken into lines; entries of a list end anywhere.
+    going_on = [(a, b) for x, a, b in zip(block, lengths, block[1:], strict=False) if not _CLOSED.search(x)]
+    full = sum(a + 1 + len(b.split(None, 1)[0]) > width - 2 for a, b in going_on)
+    # Where every line begins in lower case and none has a stop, or nearly all end in a sign, lines tell nothing of sentences.
     telling = any(not _goes_on("", x) for x in block) or any(_STOP.search(x) for x in block)
-    out: list[list[str]] = [[block[0]]]
+    ended = sum(bool(_ENDS.search(x)) for x in block)
+    flowing = telling and sum(bullets) <= 1 and bool(going_on) and ended < 0.8 * len(block) and full >= 0.75 * len(going_on)
+    groups: list[list[int]] = [[0]]  # lines up to one that ends in a stop, or to a bullet
     for k in range(1, len(block)):
-        joins = not bullets[k] and (flowing or telling and _goes_on(block[k - 1], block[k]))
-        if joins:
-            out[-1].append(block[k])
+        if bullets[k] or _CLOSED.search(block[k - 1]):
+            groups.append([k])
         else:
-            out.append([block[k]])
+            groups[-1].append(k)
+    out: list[list[str]] = []
+    for g in groups:
+        rows = [block[k] for k in g]
+        signs = sum(bool(_ENDS.search(x)) for x in rows)
+        if len(rows) == 1 or _CLOSED.search(rows[-1]) and sum(len(_WORD.findall(x)) for x in rows) <= SENTENCE and (len(rows) < 3 or signs < 0.8 * len(rows)):
+            out.append(rows)  # a sentence broken into lines
+            continue
+        out.append(rows[:1])
+        for before, x in zip(rows, rows[1:], strict=False):
+            if flowing or telling and _goes_on(before, x):
+                out[-1].append(x)
+            else:
+                out.append([x])
     units = []
     short = sum(len(u) == 1 and len(_WORD.findall(u[0])) < 11 for u in out)
     listed = len(out) > 2 and short >= 0.6 * len(out)
@@ -194,6 +213,8 @@ def measure(text: str, table: CommonWords) -> tuple:
         return g
 
     for x in plain.split("\n"):
+        if x.startswith(">"):
+            x = _QUOTED.sub("", x)
         s = x.strip()
         if not s:
             good += close()
