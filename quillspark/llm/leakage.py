@@ -38,7 +38,9 @@ BLOCK_OF_ITEMS = 20_000
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 _DIVIDED = re.compile(r"(?<=\w)[-­‐][ \t]*\r?\n[ \t>*•–|#]*(?=[^\W\d_])")
 _ENUMERATED = re.compile(r"^[ \t>*•–|#-]*\(?\d{1,4}[.):\]][ \t]", re.MULTILINE)
-_WORD = re.compile(r"[^\W_]+(?:['’ʼ`][^\W_]+)*")
+_WORD = re.compile(r"[^\W_]+")
+#: Letters that an apostrophe cuts off; they count as part of their word, whether the apostrophe is there or was taken out.
+_CUT_OFF = frozenset("sdtlcjnm")
 
 
 def words_of(text: str) -> list[str]:
@@ -54,8 +56,7 @@ def words_of(text: str) -> list[str]:
         text = text.replace("\xad", "")
     if not text.isascii() and not unicodedata.is_normalized("NFC", text):
         text = unicodedata.normalize("NFC", text)
-    got = _WORD.findall(text.casefold())
-    return [w if w.isalnum() else re.sub("['ʼ`]", "’", w) for w in got] if "'" in text or "`" in text or "ʼ" in text else got
+    return [w for w in _WORD.findall(text.casefold()) if w not in _CUT_OFF]
 
 
 class SeedIndex:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.encoding import Restorer
+from quillspark.llm.encoding import Restorer, skeleton
 from quillspark.session import cut_lineage
 
 #: Components with at least this share of all records are placed one by one.
@@ -50,7 +50,13 @@ def right_names(names: DataFrame, col: str, known: DataFrame, known_col: str, by
     else:
         values = values.withColumn("mended", F.col(col))
     spelt = known.where(F.col(known_col).isNotNull()).groupBy(one_spelling(F.col(known_col)).alias("spelling")).agg(F.min(known_col).alias("name"))
-    return values.withColumn("spelling", one_spelling(F.col("mended"))).join(spelt, "spelling", "left").select(col, F.coalesce("name", "spelling").alias("node"))
+    found = values.withColumn("spelling", one_spelling(F.col("mended"))).join(spelt, "spelling", "left")
+    if by is None:
+        return found.select(col, F.coalesce("name", "spelling").alias("node"))
+    # What can't be restored, or not by what was learned, may still have one twin among the known names.
+    twins = spelt.groupBy(skeleton(F.col("spelling")).alias("skeleton")).agg(F.min("name").alias("twin"), F.count("*").alias("n")).where("n = 1").drop("n")
+    lost = F.when(F.col("name").isNull() & F.col("spelling").rlike(r"[^\x00-\x7F]"), skeleton(F.col("spelling")))
+    return found.withColumn("skeleton", lost).join(twins, "skeleton", "left").select(col, F.coalesce("name", "twin", "spelling").alias("node"))
 
 
 def propagate(edges: DataFrame, a: str, b: str) -> DataFrame:

@@ -20,6 +20,13 @@ def test_spellings(spark):
     assert spelt(spark, "./ltr/a.txt") == "ltr/a.txt"
 
 
+def test_lost_names(spark):
+    known = spark.createDataFrame([("ltr/página_1.txt",), ("ltr/pagina_2.txt",), ("ltr/père_3.txt",), ("ltr/père_3.txt".replace("è", "é"),)], "corpus_file string")
+    names = spark.createDataFrame([("ltr/p\ufffdgina_1.txt",), ("LTR//página_1.txt",), ("ltr/p\ufffdre_3.txt",), ("ltr/other.txt",), (None,)], "corpus_file string")
+    got = {r["corpus_file"]: r["node"] for r in splits.right_names(names, "corpus_file", known, "corpus_file", PLAIN).collect()}
+    assert got == {"ltr/p\ufffdgina_1.txt": "ltr/página_1.txt", "LTR//página_1.txt": "ltr/página_1.txt", "ltr/p\ufffdre_3.txt": "ltr/p\ufffdre_3.txt", "ltr/other.txt": "ltr/other.txt"}
+
+
 def brute(edges):
     parent = {}
 
