@@ -11,6 +11,8 @@ from quillspark.functions.layout import let
 START, BEST, GAIN, LOSS, HEALTHY = 100, 100, 1, 10, 50
 #: The most resources whose weights are held by every task.
 MAX_WEIGHTED = 100_000
+#: The most different filters that fit names without a plain part of three characters.
+MAX_OPEN_FILTERS = 1000
 
 
 def glob_pattern(glob: Column) -> Column:
@@ -28,8 +30,7 @@ def glob_matches(filters: DataFrame, names: DataFrame, filter_col: str, name_col
     """``filter, name`` for distinct filters and names that match.
 
     A name that matches holds every run of three characters of the filter's longest plain part. Each filter is joined on its
-    rarest run and the candidates are checked by the full pattern. Filters without a plain part of three characters match by
-    their pattern against all names; there are few different ones.
+    rarest run and the candidates are checked by the full pattern.
     """
     globs = filters.select(F.col(filter_col).alias("filter")).where("filter IS NOT NULL").distinct()
     plain = F.sort_array(F.transform(F.split(F.regexp_replace("filter", r"\[[^\]]*\]", "*"), r"[*?]"), lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))), asc=False)[0]["p"]
@@ -38,8 +39,12 @@ def glob_matches(filters: DataFrame, names: DataFrame, filter_col: str, name_col
     often = of_name.groupBy("gram").agg(F.count("*").alias("n"))
     of_filter = globs.select("filter", F.explode(_grams(plain)).alias("gram")).join(often, "gram", "left").groupBy("filter").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), F.col("gram"))).alias("gram"))
     by_gram = of_filter.join(of_name, "gram").select("filter", "name")
-    short = globs.where(F.length(plain) < 3).join(known)
-    return by_gram.unionByName(short.select("filter", "name")).where(F.regexp_like(F.col("name"), glob_pattern(F.col("filter"))))
+    # Filters without such a part are few different ones (*, *.x), and fit most names: each name gets them as an array.
+    short = [r["filter"] for r in globs.where(F.length(plain) < 3).limit(MAX_OPEN_FILTERS + 1).collect()]
+    if len(short) > MAX_OPEN_FILTERS:
+        raise ValueError(f"more than {MAX_OPEN_FILTERS} filters without three plain characters in a row")
+    every = known.select(F.explode(F.array(*map(F.lit, sorted(short))).cast("array<string>")).alias("filter"), "name")
+    return by_gram.unionByName(every).where(F.regexp_like(F.col("name"), glob_pattern(F.col("filter"))))
 
 
 def candidates(specs: DataFrame, fonts: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from quillspark.functions.distributions import NAMES, sample, sql_sample
 from quillspark.functions.draws import randint, sql_randint, sql_uniform, uniform
 from quillspark.operators import checks, resources, schedule
 from quillspark.operators.prefix import dense_index
+from quillspark.operators.quantiles import exact_quantiles
 from quillspark.plans import plan
 from quillspark.sources.tables import table
 
@@ -206,8 +207,11 @@ def dist_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {DRAWS} SELECT distribution, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS sd, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90, round(quantile_cont(value, 0.95), 6) AS p95 FROM v GROUP BY 1""")
 def dist_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    v = F.col("value")
-    return _all_draws(spark, d).groupBy("distribution").agg(F.round(F.avg(v), 6).alias("mean"), F.round(F.stddev_pop(v), 6).alias("sd"), *(F.round(F.percentile(v, p), 6).alias(f"p{round(100 * p)}") for p in (0.5, 0.9, 0.95)))
+    v, draws = F.col("value"), _all_draws(spark, d)
+    points = {"p50": 0.5, "p90": 0.9, "p95": 0.95}
+    q = exact_quantiles(draws, "distribution", "value", points)
+    means = draws.groupBy("distribution").agg(F.round(F.avg(v), 6).alias("mean"), F.round(F.stddev_pop(v), 6).alias("sd"))
+    return means.join(q, "distribution").select("distribution", "mean", "sd", *(F.round(p, 6).alias(p) for p in points))
 
 
 @query(f"WITH {DRAWS} SELECT distribution, count(*) FILTER (WHERE value < 10) AS below_10, count(*) FILTER (WHERE value BETWEEN 40 AND 60) AS middle, count(*) FILTER (WHERE value > 90) AS above_90, count(*) AS n FROM v GROUP BY 1")
@@ -344,7 +348,8 @@ SECONDS = "epoch_us(received_at) - epoch_us(recorded_at)"
 def bench_summary(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "outcomes").distinct().where("resource_id IS NOT NULL")
     s = (F.unix_micros(F.col("received_at").cast("timestamp")) - F.unix_micros(F.col("recorded_at").cast("timestamp"))) / F.lit(1000000.0)
-    a = r.select(F.regexp_extract("resource_id", "^/[^/]*/([^/]*)", 1).alias("kind"), s.alias("s")).groupBy("kind").agg(F.count("*").alias("n"), F.avg("s").alias("mean"), F.percentile("s", 0.5).alias("median"), F.coalesce(F.stddev_samp("s"), F.lit(0.0)).alias("sd"), F.min("s").alias("least"), F.max("s").alias("most"))
+    t = r.select(F.regexp_extract("resource_id", "^/[^/]*/([^/]*)", 1).alias("kind"), s.alias("s"))
+    a = t.groupBy("kind").agg(F.count("*").alias("n"), F.avg("s").alias("mean"), F.coalesce(F.stddev_samp("s"), F.lit(0.0)).alias("sd"), F.min("s").alias("least"), F.max("s").alias("most")).join(exact_quantiles(t, "kind", "s", {"median": 0.5}), "kind")
     base = a.agg(F.min_by("mean", "kind").alias("base"), F.min_by("kind", F.struct("mean", "kind")).alias("fastest"))  # one row
     return a.join(F.broadcast(base)).select("kind", "n", *(F.round(c, 6).alias(c) for c in ("mean", "median")), F.round("sd", 4).alias("sd"), *(F.round(c, 6).alias(c) for c in ("least", "most")), F.round(F.col("base") / F.col("mean"), 6).alias("speed_up"), (F.col("kind") == F.col("fastest")).alias("best"))
 

@@ -195,3 +195,23 @@ def test_command_line(spark, tmp_path):
     assert files.load_checkpoint(str(tmp_path / "none.json"), "x") is None
     assert sinks.config_hash(raw) == json.loads((tmp_path / "out/checkpoint.json").read_text())["config_hash"]
     assert cli.main([*args[:-1], str(tmp_path / "missing")]) == 1
+
+
+def test_exact_quantiles(spark):
+    import random
+
+    import numpy as np
+
+    from quillspark.operators.quantiles import exact_quantiles
+
+    r = random.Random(1)
+    rows = [("a", r.gauss(0, 1)) for _ in range(500)] + [("b", 3.0)] * 40 + [("b", float(k)) for k in range(21)] + [("c", 1.5), ("d", None), ("e", float("nan")), ("e", 2.0), ("e", 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    points = {"p0": 0.0, "p33": 0.33, "p50": 0.5, "p95": 0.95, "p100": 1.0}
+    for bins in (1, 7, 4096):
+        got = {x["k"]: x for x in exact_quantiles(df, "k", "v", points, bins).collect()}
+        assert set(got) == {"a", "b", "c", "e"}
+        for k in got:
+            v = [x for g, x in rows if g == k and x is not None and x == x]
+            for name, p in points.items():
+                assert abs(got[k][name] - np.quantile(v, p)) < 1e-9
