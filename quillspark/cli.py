@@ -7,12 +7,13 @@ from __future__ import annotations
 
 import argparse
 import logging
+import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.functions.draws import pick
+from quillspark.functions.draws import weighted_index
 from quillspark.functions.text import segment
 from quillspark.operators import render, resources, schedule
 from quillspark.operators.checks import ValidationError
@@ -34,17 +35,29 @@ def arguments(args: list[str] | None = None) -> argparse.Namespace:
     return p.parse_args(args)
 
 
-def task_table(spark: SparkSession, raw: dict, specs: DataFrame, corpus: DataFrame, fonts: DataFrame, backgrounds: DataFrame) -> DataFrame:
-    """``idx, spec_name, text, font_path, background_path`` of every image; tasks whose filter matches no font are left out."""
+def task_table(spark: SparkSession, raw: dict, specs: DataFrame, corpus: DataFrame, fonts: DataFrame, backgrounds: DataFrame, scores: DataFrame) -> DataFrame:
+    """``idx, spec_name, text, font_path, background_path`` of every image; tasks whose filter matches no healthy font are left out.
+
+    scores: ``resource_id, score`` of fonts and backgrounds that were used before.
+    """
     n = raw["total_images"]
-    matched = resources.glob_matches(specs, fonts, "font_filter", "font_path").groupBy("filter").agg(F.array_sort(F.collect_list("name")).alias("fonts"))
-    every = fonts.agg(F.array_sort(F.collect_set("font_path")).alias("all_fonts"))
+    usable = resources.healthy(fonts, "font_path", scores)
+    scored = F.array_sort(F.collect_list(F.struct(F.col("resource_id").alias("name"), "score")))
+    matched = resources.glob_matches(specs, usable, "font_filter", "resource_id").join(usable, F.col("name") == F.col("resource_id")).groupBy("filter").agg(scored.alias("fonts"))
+    every = usable.agg(scored.alias("all_fonts"))
     s = specs.join(matched, F.col("font_filter") == F.col("filter"), "left").join(F.broadcast(every))
     s = s.withColumn("fonts", F.when(F.col("font_filter").isNull(), F.col("all_fonts")).otherwise(F.col("fonts"))).join(corpus, "corpus_file")
     t = schedule.task_list(schedule.allocation(specs, n), n).join(s.select("spec_name", "fonts", "text", "min_text_length", "max_text_length"), "spec_name").where("size(fonts) > 0")
-    t = t.select("idx", "spec_name", segment(F.col("text"), F.col("min_text_length"), F.col("max_text_length"), F.col("idx")).alias("text"), pick(F.col("idx"), "font", F.col("fonts")).alias("font_path"))
-    scored = backgrounds.select(F.col("background_path").alias("resource_id"), F.lit(resources.START).cast("bigint").alias("score"))
-    return resources.weighted_pick(t, "idx", scored, "background", "background_path")
+    font = F.get("fonts", weighted_index(F.col("idx"), "font", F.col("fonts.score")))["name"]
+    t = t.select("idx", "spec_name", segment(F.col("text"), F.col("min_text_length"), F.col("max_text_length"), F.col("idx")).alias("text"), font.alias("font_path"))
+    return resources.weighted_pick(t, "idx", resources.healthy(backgrounds, "background_path", scores), "background", "background_path")
+
+
+def known_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores from the outcomes of earlier runs into the same folder."""
+    if not os.path.isdir(folder):
+        return spark.createDataFrame([], "resource_id string, score bigint")
+    return resources.final_scores(spark.read.parquet(folder)).select("resource_id", "score")
 
 
 def main(args: list[str] | None = None) -> int:
@@ -64,14 +77,19 @@ def main(args: list[str] | None = None) -> int:
     if missing:
         log.error("no such corpus file: %s", ", ".join(r["corpus_file"] for r in missing))
         return 1
-    tasks = task_table(spark, raw, specs, corpus, fonts, files.background_files(spark, [a.background_dir]))
+    # Only PNG files can be drawn on.
+    backgrounds = files.background_files(spark, [a.background_dir]).where(F.lower("background_path").endswith(".png"))
+    seen = f"{a.output_dir}/outcomes"
+    tasks = task_table(spark, raw, specs, corpus, fonts, backgrounds, known_scores(spark, seen))
     state, hash_ = f"{a.output_dir}/checkpoint.json", sinks.config_hash(raw)
     if a.resume:
         files.load_checkpoint(state, hash_)
         tasks = schedule.not_done(tasks, files.finished_indices(spark, a.output_dir))
     plans = cut_lineage(plan.plans(plan.styled(tasks, specs, params)).repartition(max(1, -(-raw["total_images"] // a.chunk_size)), "idx"))
-    images = cut_lineage(render.rendered(plans))
+    images = cut_lineage(render.rendered(plans, read_backgrounds=True))
     written = sinks.write_images(images, render.labels(plans, images), a.output_dir).agg(F.count_if(F.col("error").isNull()).alias("saved"), F.count_if(F.col("error").isNotNull()).alias("failed")).first()
+    used = plans.select("idx", F.explode(F.array_compact(F.array("font_path", "background_path"))).alias("resource_id"))
+    used.join(images.select("idx", F.col("error").isNull().alias("ok")), "idx").select("resource_id", F.col("idx").alias("seq"), "ok", F.current_timestamp().alias("recorded_at")).write.mode("append").parquet(seen)
     failed = images.where("error IS NOT NULL").count() + written["failed"]
     done = files.finished_indices(spark, a.output_dir).count()
     sinks.save_checkpoint(state, done, raw["total_images"], hash_)

@@ -195,6 +195,39 @@ def test_command_line(spark, tmp_path):
     assert files.load_checkpoint(str(tmp_path / "none.json"), "x") is None
     assert sinks.config_hash(raw) == json.loads((tmp_path / "out/checkpoint.json").read_text())["config_hash"]
     assert cli.main([*args[:-1], str(tmp_path / "missing")]) == 1
+    seen = spark.read.parquet(str(tmp_path / "out/outcomes"))
+    assert seen.where("ok").count() == 12 and seen.select("resource_id").distinct().count() == 2
+    drawn = pixels.from_png((tmp_path / "out/image_00001.png").read_bytes())
+    assert (drawn[..., 0] == 255).mean() > 0.5
+
+
+def test_drawing_again_from_labels(spark):
+    from quillspark.operators import render
+    from quillspark.plans import plan
+    from quillspark.sources import config
+
+    one = {"name": "a", "proportion": 1.0, "text_direction": "left_to_right", "corpus_file": "t.txt", "rotation_angle_min": -9.0, "rotation_angle_max": 9.0, "drop_shadow_offset_x_min": 2, "drop_shadow_offset_x_max": 4, "blur_radius_max": 1.0, "max_lines": 3, "color_mode": "per_glyph", "text_color_max": [200, 10, 10]}
+    s, p = config.tables(spark, {"total_images": 1, "specifications": [one, one | {"name": "b", "curve_type": "arc", "arc_radius_min": 80.0, "arc_radius_max": 90.0}]})
+    tasks = spark.createDataFrame([(k, "ab"[k % 2], f"text number {k} of some", None, None) for k in range(6)] + [(9, "a", None, None, None)], "idx bigint, spec_name string, text string, font_path string, background_path string")
+    plans = plan.plans(plan.styled(tasks, s, p))
+    images = render.rendered(plans, 2)
+    first = {r["idx"]: r["image"] for r in images.collect()}
+    assert len(first) == 6 and all(first.values())
+    again = render.rendered(render.plans_of_labels(render.labels(plans, images), plans), 3)
+    assert {r["idx"]: r["image"] for r in again.collect()} == first
+
+
+def test_font_tables():
+    import glob
+
+    from quillspark.sources.fonts import read_metrics
+
+    found = glob.glob("/usr/share/fonts/**/*.ttf", recursive=True)
+    if not found:
+        pytest.skip("no font here")
+    with open(found[0], "rb") as f:
+        m = read_metrics(f.read())
+    assert m.units > 0 and m.ascent > 0 and m.width("\ue123", 10) == 6
 
 
 def test_exact_quantiles(spark):
