@@ -72,14 +72,14 @@ def boxes_of(df: DataFrame, boxes: Column, *extra: str, exact: bool = False) ->
 # Layout --------------------------------------------------------------------------------------------------------------
 
 @query(f"""WITH {DRAWN}, f AS (SELECT * FROM styled WHERE text_direction = 'left_to_right'), {chars_sql("f")}
-    SELECT idx, char_pos, char, {_int("10 + " + KEPT.format("b"))} AS x0, 10 AS y0, {_int("10 + " + KEPT.format("b") + " + w")} AS x1, h + 10 AS y1 FROM ch""")
+    SELECT idx, char_pos, char, {_int("10 + " + KEPT.format("b"))} AS x0, 10::BIGINT AS y0, {_int("10 + " + KEPT.format("b") + " + w")} AS x1, h + 10 AS y1 FROM ch""")
 def glyph_layout(spark: SparkSession, d: str) -> DataFrame:
     s = styled_(spark, d).where("text_direction = 'left_to_right'")
     return boxes_of(s, layout.straight(F.col("text"), F.col("font_size"), F.col("overlap_bp")))
 
 
 @query(f"""WITH {DRAWN}, f AS (SELECT * FROM styled WHERE text_direction = 'right_to_left'), {chars_sql("f")}
-    SELECT idx, char_pos, char, {_int("10 + " + KEPT.format("e"))} AS x0, 10 AS y0, {_int("10 + " + KEPT.format("e") + " + w")} AS x1, h + 10 AS y1 FROM ch""")
+    SELECT idx, char_pos, char, {_int("10 + " + KEPT.format("e"))} AS x0, 10::BIGINT AS y0, {_int("10 + " + KEPT.format("e") + " + w")} AS x1, h + 10 AS y1 FROM ch""")
 def rtl_layout(spark: SparkSession, d: str) -> DataFrame:
     s = styled_(spark, d).where("text_direction = 'right_to_left'")
     return boxes_of(s, layout.straight(F.col("text"), F.col("font_size"), F.col("overlap_bp"), F.lit(True)))

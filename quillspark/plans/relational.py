@@ -281,6 +281,10 @@ CURVES = f"SELECT s.spec_name, 50 AS check_no, p.param || ' without a curve' AS
 CORPORA = f"SELECT spec_name, 60 AS check_no, 'no corpus file: ' || coalesce(corpus_file, 'null') AS message FROM {S} WHERE corpus_file IS NULL OR corpus_file NOT IN (SELECT corpus_file FROM corpus)"
 RAW = " UNION ALL ".join(f"SELECT spec_name, {70 + k} AS check_no, '{c} is missing' AS message FROM {S} WHERE {c} IS NULL OR trim({c}) = ''" for k, c in enumerate(("spec_name", "text_direction", "corpus_file")))
 RAW += f" UNION ALL SELECT spec_name, 73, 'proportion out of range' FROM {S} WHERE proportion IS NULL OR proportion < 0 OR proportion > 1 UNION ALL SELECT spec_name, 74, 'font size not positive' FROM {S} WHERE font_size_min <= 0"
+def _big(sql: str) -> str:
+    return f"SELECT spec_name, CAST(check_no AS BIGINT) AS check_no, message FROM ({sql})"
+
+
 ALL = " UNION ALL ".join((ENUMS, RANGES, MIN_MAX, CURVES, CORPORA, RAW))
 
 
@@ -289,32 +293,32 @@ def validate_proportions(spark: SparkSession, d: str) -> DataFrame:
     return checks.proportion_sums(specs_(spark, d))
 
 
-@query(ENUMS)
+@query(_big(ENUMS))
 def validate_enums(spark: SparkSession, d: str) -> DataFrame:
     return checks.enum_violations(specs_(spark, d), params_(spark, d))
 
 
-@query(RANGES)
+@query(_big(RANGES))
 def validate_ranges(spark: SparkSession, d: str) -> DataFrame:
     return checks.range_violations(specs_(spark, d))
 
 
-@query(MIN_MAX)
+@query(_big(MIN_MAX))
 def validate_min_max(spark: SparkSession, d: str) -> DataFrame:
     return checks.min_max_violations(params_(spark, d))
 
 
-@query(CURVES)
+@query(_big(CURVES))
 def validate_curve_consistency(spark: SparkSession, d: str) -> DataFrame:
     return checks.curve_violations(specs_(spark, d), params_(spark, d))
 
 
-@query(CORPORA)
+@query(_big(CORPORA))
 def validate_corpus_patterns(spark: SparkSession, d: str) -> DataFrame:
     return checks.missing_corpora(specs_(spark, d), table(spark, d, "corpus"))
 
 
-@query(RAW)
+@query(_big(RAW))
 def validate_raw(spark: SparkSession, d: str) -> DataFrame:
     return checks.raw_violations(specs_(spark, d))
 
@@ -324,7 +328,7 @@ def validate_report(spark: SparkSession, d: str) -> DataFrame:
     return checks.report(checks.all_violations(specs_(spark, d), params_(spark, d), table(spark, d, "corpus")))
 
 
-@query(f"SELECT spec_name, check_no, message FROM (SELECT DISTINCT * FROM ({ALL})) QUALIFY row_number() OVER (PARTITION BY spec_name ORDER BY check_no, message) = 1")
+@query(f"SELECT spec_name, CAST(check_no AS BIGINT) AS check_no, message FROM (SELECT DISTINCT * FROM ({ALL})) QUALIFY row_number() OVER (PARTITION BY spec_name ORDER BY check_no, message) = 1")
 def validate_first_failure(spark: SparkSession, d: str) -> DataFrame:
     return checks.first_failure(checks.all_violations(specs_(spark, d), params_(spark, d), table(spark, d, "corpus")))
 
