@@ -10,7 +10,7 @@ words. Prose is told from lists, tables, logs, dumps and boilerplate line by lin
 * a unit is prose if it is long enough for a sentence, mixes common words and others as sentences do, and isn't full of
   repeated words, of signs within words, or of pieces that are too short to be sentences.
 
-A document is prose if at least half of its characters (white space aside) lie in such units. Common words come from a table by
+A document is prose if at least half of its characters (white space aside) lie in such units and it isn't mostly repetition. Common words come from a table by
 language; the language with the most of them counts, whatever the document's own label says. In an alphabet for which the
 table has no words, short words stand for them.
 
@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 
 #: The most words that the table of common words may have to be sent to the executors.
 MAX_COMMON = 100_000
+#: From so many words on, a text is boilerplate if this share of it is one run of words, or copies of its lines or paragraphs.
+LONG_ENOUGH, REPEATED = 30, 0.5
 #: Words that lines up to a stop may have to be taken for one sentence.
 SENTENCE = 45
 SCHEMA = (
@@ -226,7 +228,7 @@ def measure(text: str, table: CommonWords) -> tuple:
     share = good / max(1, sum(len("".join(x.split())) for x in lines))
     return (
         n, letters / n if n else 0.0, max(0.0, 1 - (letters + digits) / solid), digits / solid, len(lines), sum(bool(_ENDS.search(x)) for x in lines) / len(lines),
-        sum(k for w, k in counts.items() if _is_common(w, common)) / n if n else 0.0, duplicate, duplicate_p, *tops, share, share >= 0.5,
+        sum(k for w, k in counts.items() if _is_common(w, common)) / n if n else 0.0, duplicate, duplicate_p, *tops, share, share >= 0.5 and not (n >= LONG_ENOUGH and max(duplicate, duplicate_p, *tops) > REPEATED),
     )
 
 

@@ -6,10 +6,10 @@ COMMON = [("en", w) for w in "the of and to in is that it was for on are as with
 TABLE = q.CommonWords(COMMON)
 SENTENCE = "The printer of the narrow street had seen the lamp in the window, and they were not sure that it was for sale."
 PROSE = [
-    SENTENCE * 3,
-    " ".join([SENTENCE] * 3).upper(),
+    SENTENCE + " We were told that the road to the hill was closed for the day. They went by the river with the lamp, not for the first time.",
+    (SENTENCE + " We were told that the road to the hill was closed for the day.").upper(),
     "\n".join(["The printer of the narrow street had seen", "the lamp in the window, and they were not", "sure that it was for sale to anyone from", "the town on the hill. The colour of the", "paper was dull and the edges were frayed."]),
-    " ".join([SENTENCE.rstrip(".")] * 4),
+    SENTENCE.rstrip(".") + " We were told that the road to the hill was closed for the day They went by the river with the lamp",
     f"“{SENTENCE}” said the man, and so they were on the way to the town with the lamp.\n\n{SENTENCE}",
     "<b>The printer</b> of *the* narrow street had _seen_ the lamp in the [window], and they were not sure that it was for sale.",
     "(3) " + SENTENCE[:-1] + " (12 px, 0.60). (4) " + SENTENCE,
@@ -40,9 +40,14 @@ def test_not_prose(text):
     assert not q.measure(text, TABLE)[-1]
 
 
+def test_repetition_is_boilerplate():
+    other = "We were told that the road to the hill was closed for the day, so they went by the river with the lamp."
+    assert not q.measure("\n\n".join([SENTENCE, other] * 6), TABLE)[-1]
+
+
 def test_share_decides():
     table = OTHER[1]
-    assert q.measure(SENTENCE * 4 + "\n\n" + table, TABLE)[-1]
+    assert q.measure(PROSE[0] + "\n\n" + table, TABLE)[-1]
     assert not q.measure(SENTENCE + "\n\n" + "\n".join([table] * 6), TABLE)[-1]
 
 
