@@ -134,9 +134,10 @@ def leaked(documents: DataFrame, items: DataFrame, block_of_items: int = BLOCK_O
     out = None
     for b in range(blocks):
         rows = usable.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()
-        index = SeedIndex(sorted((r["item_id"], r["text"]) for r in rows))
+        sent = documents.sparkSession.sparkContext.broadcast(SeedIndex(sorted((r["item_id"], r["text"]) for r in rows)))
 
-        def run(batches: Iterator[pa.RecordBatch], index: SeedIndex = index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            index: SeedIndex = sent.value
             number = index.number
             for batch in batches:
                 for at in range(0, len(batch), 500):
