@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from operator import itemgetter
 
 import pandas as pd
@@ -46,9 +47,9 @@ _TAG = re.compile(r"</?(?:b|i|u|em|strong|a|p|br|span|sup|sub|code|h\d)(?:\s[^<>
 _PAIRED = re.compile(r"(?<![\w*_])([*_]{1,2})(?=[^\W_])([^*_\n]{1,60}?)\1(?![\w*_])|\[([^\W\d_][^\[\]\n]{0,60})\](?!\()")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _BULLET = re.compile(r"^\s*(?:[•*–·▪+-]|\(?\d{1,4}[.)]|\(\d{1,4}\))\s+")
-_ENDS = re.compile(r"[.!?…。:;,\"”»’)]\s*$")
+_SIGNS = tuple(".!?…。:;,\"”»’)")
 _QUOTED = re.compile(r"^(?:> ?)+")
-_CLOSED = re.compile(r"[.!?…。:;][\"”»’)]*\s*$")
+_STOPS = tuple(".!?…。:;")
 _STOP = re.compile(r"[.!?…。]+[\"”»’)]*(?:\s|$)")
 _ODD = re.compile(r"[#§<>=~{}|*^%¦_$&@\\+�]|[\x00-\x08\x0e-\x1f\x7f-\x9f]")
 _LEADERS = ("....", "____", "----", "====", "****", "~~~~", "####", "||||")
@@ -109,9 +110,8 @@ def _is_common(word: str, common: frozenset[str] | None) -> bool:
     return len(word) <= 3 if common is None else word in common
 
 
-def _sentence_like(unit: str, common: frozenset[str] | None, listed: bool) -> bool:
+def _sentence_like(unit: str, words: list[str], common: frozenset[str] | None, listed: bool) -> bool:
     """Whether a unit of lines is running text."""
-    words = _WORD.findall(unit.casefold())
     n = len(words)
     if n < (10 if listed else 8):
         return False
@@ -127,9 +127,18 @@ def _sentence_like(unit: str, common: frozenset[str] | None, listed: bool) -> bo
     if n >= 12 and max(Counter(words).values()) > 0.34 * n:
         return False
     # Pieces between stops: sentences, not entries.
-    pieces = [len(_WORD.findall(p)) for p in _STOP.split(unit)]
-    pieces = [p for p in pieces if p]
-    return not pieces or n / len(pieces) >= (7 if listed or len(pieces) > 2 else 5)
+    stops = _STOP.findall(unit)
+    pieces = len(stops) + (not stops or not _closed(unit))
+    return n / pieces >= (7 if listed or pieces > 2 else 5)
+
+
+def _closed(line: str) -> bool:
+    """Whether a line ends in a stop or colon, quotes aside."""
+    return line.rstrip().rstrip("\"”»’) ")[-1:] in _STOPS
+
+
+def _ended(line: str) -> bool:
+    return line.rstrip()[-1:] in _SIGNS
 
 
 def _goes_on(line: str, following: str) -> bool:
@@ -138,46 +147,45 @@ def _goes_on(line: str, following: str) -> bool:
     return bool(start) and (start[0].islower() or (start[0].isdigit() and not _STOP.search(line[-3:])))
 
 
-def _units(block: list[str]) -> list[tuple[str, int, bool]]:
-    """(text, characters, whether it stands in a list) of the units of a block of lines."""
+def _units(block: list[tuple[str, list[str]]]) -> list[tuple[str, list[str], int, bool]]:
+    """(text, words, characters, whether it stands in a list) of the units of a block of lines with their words."""
+    lines = [x for x, _ in block]
     if len(block) == 1:
-        return [(block[0], len("".join(block[0].split())), bool(_BULLET.match(block[0])))]
-    bullets = [bool(_BULLET.match(x)) for x in block]
-    lengths = [len(x.rstrip()) for x in block]
+        return [(lines[0], block[0][1], len("".join(lines[0].split())), bool(_BULLET.match(lines[0])))]
+    bullets = [bool(_BULLET.match(x)) for x in lines]
+    closed = list(map(_closed, lines))
+    ended = list(map(_ended, lines))
+    lengths = [len(x.rstrip()) for x in lines]
     width = max(lengths)
     # Lines without a stop are filled up to one width, where text is broken into lines; entries of a list end anywhere.
-    going_on = [(a, b) for x, a, b in zip(block, lengths, block[1:], strict=False) if not _CLOSED.search(x)]
+    going_on = [(a, b) for c, a, b in zip(closed, lengths, lines[1:], strict=False) if not c]
     full = sum(a + 1 + len(b.split(None, 1)[0]) > width - 2 for a, b in going_on)
     # Where every line begins in lower case and none has a stop, or nearly all end in a sign, lines tell nothing of sentences.
-    telling = any(not _goes_on("", x) for x in block) or any(_STOP.search(x) for x in block)
-    ended = sum(bool(_ENDS.search(x)) for x in block)
-    flowing = telling and sum(bullets) <= 1 and bool(going_on) and ended < 0.8 * len(block) and full >= 0.75 * len(going_on)
+    telling = any(not _goes_on("", x) for x in lines) or any(map(_STOP.search, lines))
+    flowing = telling and sum(bullets) <= 1 and bool(going_on) and sum(ended) < 0.8 * len(block) and full >= 0.75 * len(going_on)
     groups: list[list[int]] = [[0]]  # lines up to one that ends in a stop, or to a bullet
     for k in range(1, len(block)):
-        if bullets[k] or _CLOSED.search(block[k - 1]):
+        if bullets[k] or closed[k - 1]:
             groups.append([k])
         else:
             groups[-1].append(k)
-    out: list[list[str]] = []
+    out: list[list[int]] = []
     for g in groups:
-        rows = [block[k] for k in g]
-        signs = sum(bool(_ENDS.search(x)) for x in rows)
-        if len(rows) == 1 or _CLOSED.search(rows[-1]) and sum(len(_WORD.findall(x)) for x in rows) <= SENTENCE and (len(rows) < 3 or signs < 0.8 * len(rows)):
-            out.append(rows)  # a sentence broken into lines
+        if len(g) == 1 or closed[g[-1]] and sum(len(block[k][1]) for k in g) <= SENTENCE and (len(g) < 3 or sum(ended[k] for k in g) < 0.8 * len(g)):
+            out.append(g)  # a sentence broken into lines
             continue
-        out.append(rows[:1])
-        for before, x in zip(rows, rows[1:], strict=False):
-            if flowing or telling and _goes_on(before, x):
-                out[-1].append(x)
+        out.append(g[:1])
+        for k in g[1:]:
+            if flowing or telling and _goes_on(lines[k - 1], lines[k]):
+                out[-1].append(k)
             else:
-                out.append([x])
-    units = []
-    short = sum(len(u) == 1 and len(_WORD.findall(u[0])) < 11 for u in out)
+                out.append([k])
+    short = sum(len(u) == 1 and len(block[u[0]][1]) < 11 for u in out)
     listed = len(out) > 2 and short >= 0.6 * len(out)
+    units = []
     for u in out:
-        text = " ".join(x.strip() for x in u)
-        text = _BULLET.sub("", text)
-        units.append((text, sum(len("".join(x.split())) for x in u), listed or bool(_BULLET.match(u[0]))))
+        text = _BULLET.sub("", " ".join(lines[k].strip() for k in u))
+        units.append((text, [w for k in u for w in block[k][1]], sum(len("".join(lines[k].split())) for k in u), listed or bullets[u[0]]))
     return units
 
 
@@ -187,11 +195,13 @@ def measure(text: str, table: CommonWords) -> tuple:
     plain = _TAG.sub("", text) if "<" in text else text
     if "*" in plain or "_" in plain or "[" in plain:
         plain = _PAIRED.sub(lambda m: m[2] or m[3], plain)
-    words = _WORD.findall(plain.casefold())
+    all_lines = plain.split("\n")
+    words_by_line = list(map(_WORD.findall, plain.casefold().split("\n")))
+    words = list(chain.from_iterable(words_by_line))
     n = len(words)
     counts = Counter(words)
     common = table.best(counts)
-    lines = [x for x in plain.split("\n") if x and not x.isspace()]
+    lines = [x for x in all_lines if x and not x.isspace()]
     solid = sum(len(x) - x.count(" ") - x.count("\t") for x in lines)
     if not solid:
         return (0, 0.0, 0.0, 0.0, 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, True)
@@ -210,11 +220,11 @@ def measure(text: str, table: CommonWords) -> tuple:
     good, block = 0, []
 
     def close() -> int:
-        g = sum(size for unit, size, listed in _units(block) if _sentence_like(unit, common, listed)) if block else 0
+        g = sum(size for unit, ws, size, listed in _units(block) if _sentence_like(unit, ws, common, listed)) if block else 0
         block.clear()
         return g
 
-    for x in plain.split("\n"):
+    for x, ws in zip(all_lines, words_by_line, strict=True):
         if x.startswith(">"):
             x = _QUOTED.sub("", x)
         s = x.strip()
@@ -223,11 +233,11 @@ def measure(text: str, table: CommonWords) -> tuple:
         elif s in repeated or _structured(x):
             good += close()
         else:
-            block.append(x)
+            block.append((x, ws))
     good += close()
     share = good / max(1, sum(len("".join(x.split())) for x in lines))
     return (
-        n, letters / n if n else 0.0, max(0.0, 1 - (letters + digits) / solid), digits / solid, len(lines), sum(bool(_ENDS.search(x)) for x in lines) / len(lines),
+        n, letters / n if n else 0.0, max(0.0, 1 - (letters + digits) / solid), digits / solid, len(lines), sum(map(_ended, lines)) / len(lines),
         sum(k for w, k in counts.items() if _is_common(w, common)) / n if n else 0.0, duplicate, duplicate_p, *tops, share, share >= 0.5 and not (n >= LONG_ENOUGH and max(duplicate, duplicate_p, *tops) > REPEATED),
     )
 
