@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.session import cut_lineage
+
 BINS = 4096
 
 
@@ -16,7 +18,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, points: dict[str, flo
     """
     rows = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
     # Equal values are one row with a count from the start: a value that a third of all rows share is one row.
-    rows = rows.groupBy("g", "v").agg(F.count("*").alias("n"))
+    rows = cut_lineage(rows.groupBy("g", "v").agg(F.count("*").alias("n")))  # read several times below
     ends = rows.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("all"))
     binned = rows.join(ends, "g").withColumn("bin", F.when(F.col("hi") > F.col("lo"), F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins))).otherwise(0).cast("int"))
     counts = binned.groupBy("g", "bin").agg(F.sum("n").alias("n"), F.first("all").alias("all"))
