@@ -82,7 +82,8 @@ def propagate(edges: DataFrame, a: str, b: str) -> DataFrame:
 def record_edges(tasks: DataFrame, specs: DataFrame, corpus: DataFrame, fonts: DataFrame, by: Restorer) -> tuple[DataFrame, DataFrame]:
     """(``spec_name, corpus_node``; ``spec_name, font_path, font_node, corpus_node``, distinct)."""
     named = right_names(specs, "corpus_file", corpus, "corpus_file", by)
-    of_spec = specs.select("spec_name", "corpus_file").distinct().join(named, "corpus_file").select("spec_name", F.col("node").alias("corpus_node")).distinct()
+    # Both sides grow with the data, and Spark takes their columns for smaller than they are: no broadcast here.
+    of_spec = specs.select("spec_name", "corpus_file").distinct().join(named.hint("merge"), "corpus_file").select("spec_name", F.col("node").alias("corpus_node")).distinct()
     used = tasks.select("spec_name", "font_path").where("font_path IS NOT NULL").distinct()
     font = right_names(used, "font_path", fonts, "font_path")
     pairs = used.join(font, "font_path").select("spec_name", "font_path", F.col("node").alias("font_node"))
