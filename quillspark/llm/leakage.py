@@ -1,13 +1,16 @@
 """Passages of held-out texts inside a corpus, exact or with changed words.
 
 Texts become words: letter case, punctuation, markup, line starts and breaks, words divided at a line end and spacing are gone.
-An item leaks into a document if they share a run of at least 12 words of which at most one in ten is changed. Every such run
-holds 12 words in a row with at most one changed: m changed words cut a run of at least 10 m words into m + 1 pieces with 9 m
-words together, so some two neighbouring pieces and the word between them make 12 at least.
+An item leaks into a document if they share a run of at least 12 words of which at most one in ten is changed. m changed words
+cut a run of at least 10 m words into m + 1 pieces with 9 m words together. If no 12 words in a row have at most one change, two
+neighbouring pieces have at most 10 words; pairing the pieces, 9 m is at most 5 (m + 1) for odd m and 5 m + 10 for even m, so m
+is 2. Then the outer pieces have 8 words at least and the inner one 2 at most: the changes lie within 4 words in a row.
 
-Spaced seeds find these: three masks over 12 positions ignore positions 1-4, 5-8 and 9-12. Whatever word is changed, one mask
-ignores it. The hashes of all masked windows of the items are looked up at every position of every document that can match;
-around each hit the words themselves are compared, and a hit stands only if the run begins and ends with an equal word.
+Spaced seeds find both kinds: three masks over 12 positions ignore positions 1-4, 5-8 and 9-12. Whatever one word is changed, one
+mask ignores it; two changes within 4 words are ignored by the second mask at the window that begins 4 words before the first.
+The other 8 words must be words of the block of items, the ignored ones need not. The hashes of all masked windows of the items
+are looked up at every position of every document that can match; around each hit the words themselves are compared, and a hit
+stands only if the run begins and ends with an equal word.
 
 Documents are read once for each block of items (20,000 by default) and are never shuffled; what is sent to the executors is
 one block's words and hashes, so its size is bounded. Documents are never cut; each is handled whole, in a batch with others.
@@ -92,10 +95,11 @@ class SeedIndex:
     def found(self, words: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(documents, items) of a batch: words as numbers, 0 between documents and for words that no item has."""
         known = np.concatenate(([0], np.cumsum(words > 0)))
-        starts = np.flatnonzero(known[WINDOW:] - known[:-WINDOW] >= WINDOW - 1)
+        full = known[4:] - known[:-4] == 4
+        full = [full[k : len(words) - WINDOW + 1 + k] for k in (0, 4, 8)]
         pairs: list[np.ndarray] = []
-        for mask, (hashes, places) in zip(MASKS, self.tables, strict=True):
-            s = starts[np.all([words[starts + k] > 0 for k in mask], axis=0)] if len(starts) else starts
+        for m, (mask, (hashes, places)) in enumerate(zip(MASKS, self.tables, strict=True)):
+            s = np.flatnonzero(full[m - 1] & full[m - 2])
             h = self._hash(words, s, mask)
             lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
             hit = np.flatnonzero(hi > lo)

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from quillspark.llm import leakage as l
 
 R = random.Random(5)
@@ -53,3 +55,15 @@ def test_against_brute_force(spark):
     for block in (1, 100):
         assert {tuple(r) for r in l.leaked(docs, held, block).collect()} == want
     assert l.leaked(docs.limit(0), held).count() == l.leaked(docs, held.limit(0)).count() == 0
+
+
+def test_two_close_unknown_words():
+    patterns = {20: [(8, 9), (8, 10), (8, 11), (9, 10), (9, 11), (10, 11)], 21: [(9, 10), (9, 11), (10, 11)], 22: [(10, 11)]}
+    index = l.SeedIndex([(1, " ".join(ITEM))])
+    for n, pairs in patterns.items():
+        for pair in pairs:
+            run = [f"unknown{k}" if k in pair else w for k, w in enumerate(ITEM[3 : 3 + n])]
+            assert brute(" ".join(run), " ".join(ITEM))
+            words = np.array([0] * 12 + [index.number.get(w, 0) for w in run] + [0] * 12, np.int32)
+            document = np.repeat([-1, 0], [12, n + 12])
+            assert [len(x) for x in index.found(words, document)] == [1, 1], (n, pair)
