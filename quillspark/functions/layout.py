@@ -20,6 +20,7 @@ WIDE, WIDE_PERCENT = "mwMW@%", 85
 SQUARE_FROM, SQUARE_PERCENT, PLAIN_PERCENT = "⺀", 100, 60
 ASCENT_PERCENT, DESCENT_PERCENT = 93, 24
 HORIZONTAL = ("left_to_right", "right_to_left")
+VERTICAL = ("top_to_bottom", "bottom_to_top")
 BACKWARD = ("right_to_left", "bottom_to_top")
 
 
@@ -205,21 +206,36 @@ def line_positions(lines: Column, size: Column, spacing: Column, alignment: Colu
     return let(long, lambda ns: let(F.array_max(ns), lambda room: F.transform(ns, lambda n, i: at(n, i, room))))
 
 
-def multiline(lines: Column, size: Column, overlap: Column, spacing: Column, alignment: Column) -> Column:
-    """Boxes of horizontal lines with their line_index; empty lines have none but keep their place."""
-    wide = F.transform(lines, lambda x: F.when(x == "", F.lit(0).cast("bigint")).otherwise(extent(x, size, overlap)))
+def multiline(lines: Column, size: Column, overlap: Column, spacing: Column, alignment: Column, direction: Column | None = None, curved: Column | None = None, laid_out: Callable[[Column], Column] | None = None) -> Column:
+    """Boxes of lines with their line_index; empty lines have none but keep their place.
 
-    def line(x: Column, i: Column, wide: Column) -> Column:
-        moved = F.struct(F.when(alignment.isin("top", "bottom"), 0).otherwise(aligned(alignment, F.array_max(wide), F.get(wide, i))).cast("bigint").alias("dx"), (i * line_height(size, spacing)).alias("dy"))
-        return let(moved, lambda m: boxes(x, i, m["dx"], m["dy"]))
-
-    def boxes(x: Column, i: Column, dx: Column, dy: Column) -> Column:
+    laid_out makes the boxes of one line, in its direction and along its curve; without it lines are straight, from left to right.
+    Vertical lines stand beside each other; others are stacked.
+    """
+    beside = F.lit(False) if direction is None else F.coalesce(direction.isin(*VERTICAL), F.lit(False))
+
+    def extent_of(x: Column, boxes: Column) -> Column:
+        plain = F.when(beside, whole(kept(F.size(boxes) * height(size), overlap) + 2 * MARGIN)).otherwise(extent(x, size, overlap))
+        if curved is not None:
+            ends = F.when(beside, F.array_max(F.transform(boxes, lambda b: b["y1"]))).otherwise(F.array_max(F.transform(boxes, lambda b: b["x1"])))
+            plain = F.when(curved, ends + CROP).otherwise(plain)
+        return F.when(x == "", 0).otherwise(plain).cast("bigint")
+
+    def line(s: Column, i: Column, room: Column) -> Column:
+        side = F.when(F.when(beside, alignment.isin("left", "right")).otherwise(alignment.isin("top", "bottom")), 0).otherwise(aligned(alignment, room, s["used"]))
+        step = i * F.when(beside, line_step(size, spacing)).otherwise(line_height(size, spacing))
+        moved = F.struct(F.when(beside, step).otherwise(side).cast("bigint").alias("dx"), F.when(beside, side).otherwise(step).cast("bigint").alias("dy"))
+        return let(moved, lambda m: boxes(s["boxes"], i, m["dx"], m["dy"]))
+
+    def boxes(laid: Column, i: Column, dx: Column, dy: Column) -> Column:
         return F.transform(
-            straight(x, size, overlap),
+            laid,
             lambda b: F.struct(i.alias("line_index"), b["char_pos"].alias("char_pos"), b["char"].alias("char"), (b["x0"] + dx).alias("x0"), (b["y0"] + dy).alias("y0"), (b["x1"] + dx).alias("x1"), (b["y1"] + dy).alias("y1")),
         )
 
-    return let(wide, lambda ws: F.flatten(F.transform(lines, lambda x, i: line(x, i, ws))))
+    of = laid_out or (lambda x: straight(x, size, overlap))
+    laid = F.transform(lines, lambda x: let(of(x), lambda b: F.struct(b.alias("boxes"), extent_of(x, b).alias("used"))))
+    return let(laid, lambda ls: let(F.array_max(F.transform(ls, lambda s: s["used"])), lambda room: F.flatten(F.transform(ls, lambda s, i: line(s, i, room)))))
 
 
 def block_size(lines: Column, size: Column, overlap: Column, spacing: Column, direction: Column) -> Column:

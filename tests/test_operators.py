@@ -248,3 +248,30 @@ def test_exact_quantiles(spark):
             v = [x for g, x in rows if g == k and x is not None and x == x]
             for name, p in points.items():
                 assert abs(got[k][name] - np.quantile(v, p)) < 1e-9
+
+
+def test_lines_by_direction_and_curve(spark):
+    from quillspark.operators import render
+
+    schema = "idx int, text string, lines array<string>, font_size bigint, overlap_bp bigint, spacing_percent bigint, curve string, text_alignment string, arc_radius double, arc_concave boolean, sine_amplitude double, sine_frequency double, sine_phase double, text_direction string"
+    directions = ("left_to_right", "right_to_left", "top_to_bottom", "bottom_to_top")
+    cases = [(d, c, al, x) for d in directions for c in ("none", "arc", "sine") for al in ("top", "center", "bottom", "left", "right") for x in (("abc", "", "d"), ("abc",), ("d",))]
+    rows = [(i, "".join(x), list(x), 20, 0, 100, c, al, 200.0, True, 4.0, 0.05, 0.3, d) for i, (d, c, al, x) in enumerate(cases)]
+    got = spark.createDataFrame(rows, schema).select("idx", render.boxes_of_plan().alias("b")).collect()
+    boxes = {cases[r["idx"]]: [(b["char"], b["x0"], b["y0"], b["x1"], b["y1"]) for b in r["b"]] for r in got}
+    several = ("abc", "", "d")
+
+    # A character is 12 wide and 22 high, vertical lines are 24 apart, stacked ones 22; an empty line keeps its place.
+    assert boxes["right_to_left", "none", "center", several] == [("a", 34, 10, 46, 32), ("b", 22, 10, 34, 32), ("c", 10, 10, 22, 32), ("d", 22, 54, 34, 76)]
+    for alignment, dy in (("top", 0), ("center", 22), ("bottom", 44), ("left", 0), ("right", 0)):
+        d = ("d", 58, 10 + dy, 70, 32 + dy)
+        assert boxes["top_to_bottom", "none", alignment, several] == [("a", 10, 10, 22, 32), ("b", 10, 32, 22, 54), ("c", 10, 54, 22, 76), d]
+        assert boxes["bottom_to_top", "none", alignment, several] == [("a", 10, 54, 22, 76), ("b", 10, 32, 22, 54), ("c", 10, 10, 22, 32), d]
+    for direction in directions:
+        flat = direction in directions[:2]
+        far, end = (3, "right") if flat else (4, "bottom")
+        for curve in ("arc", "sine"):
+            first, last = boxes[direction, curve, end, ("abc",)], boxes[direction, curve, end, ("d",)]
+            free = max(b[far] for b in first) - max(b[far] for b in last)
+            dx, dy = (free, 44) if flat else (48, free)
+            assert boxes[direction, curve, end, several] == first + [(c, x0 + dx, y0 + dy, x1 + dx, y1 + dy) for c, x0, y0, x1, y1 in last]
