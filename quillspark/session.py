@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import zipfile
 
@@ -27,12 +30,21 @@ def build_session(master: str = "local[8]", name: str = "quillspark", **settings
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder named in spark.checkpoint.dir; only where that is unset (tests, one machine) a folder of our own."""
+    """Uses the folder named in spark.checkpoint.dir.
+
+    Only on one machine (a local master, as in tests) a folder of our own is made where that is unset, and removed when Python
+    ends; executors elsewhere couldn't read it, so on a cluster the missing setting is an error.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillspark-checkpoint-"))
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="quillspark-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    sc.setCheckpointDir(named)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
