@@ -43,11 +43,11 @@ def _groups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return splits.held_together(splits.corpus_groups(*_groups(spark, d)))
+    return splits.held_together(splits.corpus_groups(cut_lineage(splits.record_ties(*_groups(spark, d)))))
 
 
 def p3_splits(spark: SparkSession, d: str) -> DataFrame:
-    return splits.assign(splits.task_components(*_groups(spark, d)), table(spark, d, "split_targets"))
+    return splits.task_splits(*_groups(spark, d), table(spark, d, "split_targets"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,31 +1,47 @@
 """Train, validation and test splits that keep related records together.
 
-Records and the entities they share form a bipartite graph: a task is tied to its font file and to the corpus file of its
-specification. Paths are compared in one spelling, and a damaged corpus name is restored first. Components come from iterative
-minimum-label propagation between records' entities: each corpus file takes the smallest label that one of its fonts has seen,
-and fonts take the smallest label of their corpus files; labels are followed to their own labels after each round, so that long
+Records and the entities they share form a bipartite graph: a specification (the record, with all its tasks) is tied to its
+corpus file and to every font file that its tasks use. Paths are compared in one spelling, and a damaged corpus name is restored
+first. Components come from iterative minimum-label propagation: each record takes the smallest label among its entities, each
+entity the smallest among its records; labels are followed to their own labels until they stand, then every entity is replaced
+by its label, repeated ties count once, and records with one tie left are settled. So the graph shrinks in each round and long
 chains need few rounds. Each round ends in the shared checkpoint folder.
 
-Before anything is moved, tasks are reduced to the distinct pairs of specification and font in each partition, so a font or
-specification with a third of all rows costs no more than a rare one. Components are never collected: those with at least
-1/1,000 of all records, of which there are at most 1,000, are placed on the driver, largest first, where the shares of the labels
-deviate least; the others are ordered by a hash within their most frequent label and cut at the remaining shares.
+Before anything is moved, tasks are reduced to the distinct pairs of specification and font in each partition. A hub font, the
+label of a huge component or a specification with a third of all tasks is spread wherever rows are joined on it (see
+``operators.skew``). The split is decided per component, handed to its specifications, and only then to tasks.
 
-Defined results: null fonts and null corpus names hold nothing together; a record with neither is a component of its own;
-repeated records count once; a share table without rows is an error; ties between splits go to the first by name.
+Assignment is one greedy rule for all components: those of about the same size and mix of labels are a class; classes are taken
+from the largest components down, and one component after the other (in classes of many: so many at a time that a class takes
+at most STEPS turns) goes to the split where the shares of the labels and of all records then deviate least from the targets.
+Only classes go to the driver: their number is bounded by CLASSES, whatever the number of components. Within a class,
+components are told apart by the order of a hash, whose ranks are counted in blocks.
+
+Defined results: null fonts and null corpus names hold nothing together, but a specification without a corpus file still ties
+its fonts; a task without a (known) specification is tied by its font alone; a task with neither is a component of its own;
+repeated tasks count once, of different tasks with one idx the smallest counts; a share table without rows is an error; shares
+count by their proportions; ties between splits go to the first by name.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm.encoding import Restorer, skeleton
+from quillspark.operators.skew import HOT_ROWS, pick_one, salted_join
 from quillspark.session import cut_lineage
 
-#: Components with at least this share of all records are placed one by one.
-LARGE = 1 / 1000
+#: Labels that are kept in balance; rarer ones count as one.
+LABELS = 16
+#: Classes of components that are told apart; components of rarer classes form one class for each size.
+CLASSES = 5000
+#: Turns that a class of many components takes at most.
+STEPS = 64
+#: Components of one block when ranks are counted.
+RANK_BLOCK = 2000
 
 
 def one_spelling(path: F.Column) -> F.Column:
@@ -59,44 +75,61 @@ def right_names(names: DataFrame, col: str, known: DataFrame, known_col: str, by
     return found.withColumn("skeleton", lost).join(twins, "skeleton", "left").select(col, F.coalesce("name", "twin", "spelling").alias("node"))
 
 
-def propagate(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """``a, label``: the smallest a of each component of the bipartite graph with distinct edges (a, b)."""
-    # First half round: each b takes the smallest of its neighbours, which stands for it from then on.
-    hub = edges.groupBy(b).agg(F.min(a).alias("hub"))
-    links = cut_lineage(edges.join(hub, b).select(F.col(a).alias("x"), F.col("hub").alias("y")).distinct())
-    labels = cut_lineage(links.groupBy("x").agg(F.min(F.least("x", "y")).alias("label")))
+def propagate(ties: DataFrame) -> DataFrame:
+    """``entity, label``: the smallest entity of the component of each entity that shares a record with another one.
+
+    ties: ``record, entity``. Entities that are missing from the result are their own label.
+    """
+    several, known, n_known = ties.where("record IS NOT NULL AND entity IS NOT NULL").distinct(), None, 0
+
+    def looked_up(big: DataFrame, n: int, small: DataFrame, key: str, by: str, how: str = "left") -> DataFrame:
+        """A join whose big side has at most n rows: too few for a hot key, or salted."""
+        return big.join(small, key, how) if n < HOT_ROWS else salted_join(big, small, key, [by], how)
+
+    n = HOT_ROWS
     while True:
-        # Records to entities: a hub gets the smallest label around it; entities to records: everyone takes that of their hubs.
-        at = links.join(labels, "x")
-        around = at.groupBy("y").agg(F.min("label").alias("seen"))
-        taken = links.join(around, "y").groupBy("x").agg(F.min("seen").alias("seen"))
-        new = labels.join(taken, "x", "left").select("x", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
-        follow = new.select(F.col("x").alias("of"), F.col("label").alias("further"))
-        new = cut_lineage(new.join(follow, F.col("label") == F.col("of"), "left").select("x", "old", F.least("label", "further").alias("label")))
-        changed = new.where("old <> label").limit(1).count()
-        labels = new.select("x", "label")
-        if not changed:
-            return labels.select(F.col("x").alias(a), "label")
-
-
-def record_edges(tasks: DataFrame, specs: DataFrame, corpus: DataFrame, fonts: DataFrame, by: Restorer) -> tuple[DataFrame, DataFrame]:
-    """(``spec_name, corpus_node``; ``spec_name, font_path, font_node, corpus_node``, distinct)."""
+        # Records with one entity tie nothing.
+        of_record = several.groupBy("record").agg(F.min("entity").alias("least"), F.max("entity").alias("most")).where("least <> most").select("record", "least")
+        left = cut_lineage(looked_up(several, n, of_record, "record", "entity", "inner"))
+        n = left.count()
+        if known is not None and not n:
+            return known
+        # An entity takes the smallest label around it; it is a root if that is its own.
+        taken = cut_lineage(left.groupBy("entity").agg(F.min("least").alias("label"), F.lit(True).alias("moved")))
+        n_taken = taken.count()
+        while taken.where("moved AND entity <> label").limit(1).count():
+            further = taken.where("entity <> label").select(F.col("entity").alias("label"), F.col("label").alias("further"))
+            followed = looked_up(taken.select("entity", "label"), n_taken, further, "label", "entity")
+            taken = cut_lineage(followed.select("entity", F.coalesce("further", "label").alias("label"), F.col("further").isNotNull().alias("moved")))
+        step = taken.where("entity <> label").select("entity", "label")
+        several = looked_up(left.select("record", "entity"), n, step, "entity", "record").select("record", F.coalesce("label", "entity").alias("entity")).distinct()
+        if known is None:
+            known, n_known = step, n_taken
+        else:
+            moved = looked_up(known, n_known, step.select(F.col("entity").alias("label"), F.col("label").alias("further")), "label", "entity")
+            known = cut_lineage(moved.select("entity", F.coalesce("further", "label").alias("label")).unionByName(step))  # what is replaced now was its own label so far
+
+
+def record_ties(tasks: DataFrame, specs: DataFrame, corpus: DataFrame, fonts: DataFrame, by: Restorer) -> DataFrame:
+    """``record, entity`` (distinct): specifications with their corpus file (``0`` and its name) and font files (``1`` and their name)."""
     named = right_names(specs, "corpus_file", corpus, "corpus_file", by)
     # Both sides grow with the data, and Spark takes their columns for smaller than they are: no broadcast here.
-    of_spec = specs.select("spec_name", "corpus_file").distinct().join(named.hint("merge"), "corpus_file").select("spec_name", F.col("node").alias("corpus_node")).distinct()
-    used = tasks.select("spec_name", "font_path").where("font_path IS NOT NULL").distinct()
+    given = specs.select("spec_name", "corpus_file").where("spec_name IS NOT NULL AND corpus_file IS NOT NULL").distinct()
+    of_corpus = given.join(named.hint("merge"), "corpus_file").select(F.col("spec_name").alias("record"), F.concat(F.lit("0"), "node").alias("entity"))
+    used = tasks.select("spec_name", "font_path").where("spec_name IS NOT NULL AND font_path IS NOT NULL").distinct()
     font = right_names(used, "font_path", fonts, "font_path")
-    pairs = used.join(font, "font_path").select("spec_name", "font_path", F.col("node").alias("font_node"))
-    return of_spec, pairs.join(of_spec, "spec_name")
+    of_font = salted_join(used, font, "font_path", ["spec_name"]).select(F.col("spec_name").alias("record"), F.concat(F.lit("1"), "node").alias("entity"))
+    return of_corpus.unionByName(of_font).distinct()
 
 
-def corpus_groups(tasks: DataFrame, specs: DataFrame, corpus: DataFrame, fonts: DataFrame, by: Restorer) -> DataFrame:
-    """``corpus_node, label``: each corpus file that a specification names, with the first member of its group."""
-    of_spec, pairs = record_edges(tasks, specs, corpus, fonts, by)
-    alone = of_spec.select("corpus_node").distinct()
-    edges = pairs.select("corpus_node", "font_node").distinct()
-    tied = propagate(edges, "corpus_node", "font_node")
-    return alone.join(tied, "corpus_node", "left").select("corpus_node", F.coalesce("label", "corpus_node").alias("label"))
+def corpus_groups(ties: DataFrame) -> DataFrame:
+    """``corpus_node, label``: each corpus file that a specification names, with the first member of its group.
+
+    Names of corpus files come before those of fonts, so the smallest label of a component with a corpus file is its first one.
+    """
+    alone = ties.where("entity LIKE '0%'").select("entity").distinct()
+    with_label = alone.join(propagate(ties), "entity", "left")
+    return with_label.select(F.substr("entity", F.lit(2)).alias("corpus_node"), F.substr(F.coalesce("label", "entity"), F.lit(2)).alias("label"))
 
 
 def held_together(groups: DataFrame) -> DataFrame:
@@ -104,68 +137,108 @@ def held_together(groups: DataFrame) -> DataFrame:
     return groups.where("label <> corpus_node").select(F.col("label").alias("corpus_file_a"), F.col("corpus_node").alias("corpus_file_b"))
 
 
-def task_components(tasks: DataFrame, specs: DataFrame, corpus: DataFrame, fonts: DataFrame, by: Restorer) -> DataFrame:
-    """``idx, component, label``: the component of each task; label: its text direction, for even shares."""
-    of_spec, _ = record_edges(tasks, specs, corpus, fonts, by)
-    groups = corpus_groups(tasks, specs, corpus, fonts, by)
-    # A specification named twice with different files holds both together, as its tasks share them.
-    label = specs.groupBy("spec_name").agg(F.min("text_direction").alias("label"))
-    spec = of_spec.join(groups, "corpus_node").groupBy("spec_name").agg(F.min(groups["label"]).alias("component")).join(label, "spec_name", "full")
-    return tasks.select("idx", "spec_name").where("idx IS NOT NULL").dropDuplicates(["idx"]).join(spec, "spec_name", "left").select("idx", F.coalesce("component", F.concat(F.lit("spec "), "spec_name"), F.concat(F.lit("task "), F.col("idx").cast("string"))).alias("component"), F.coalesce("label", F.lit("")).alias("label"))
-
-
-def assign(components: DataFrame, targets: DataFrame) -> DataFrame:
-    """``idx, component, split_name``: whole components to splits, close to the shares in all and of each label."""
-    shares = {r["split_name"]: r["share"] for r in targets.orderBy("split_name").collect()}
+def record_components(placed: DataFrame, ties: DataFrame, specs: DataFrame) -> DataFrame:
+    """``record, component, label, n``: each record of ``tasks_of_records`` with its component, its text direction (for even
+    shares) and its number of tasks."""
+    labels = propagate(ties)
+    of_spec = salted_join(ties, labels, "entity", ["record"], "left").groupBy(F.concat(F.lit("s"), "record").alias("record")).agg(F.min(F.coalesce("label", "entity")).alias("component"))
+    of_font = labels.where("entity LIKE '1%'").select(F.concat(F.lit("f"), F.substr("entity", F.lit(2))).alias("record"), F.col("label").alias("component"))
+    direction = specs.where("spec_name IS NOT NULL").groupBy(F.concat(F.lit("s"), "spec_name").alias("record")).agg(F.min("text_direction").alias("label"))
+    sizes = placed.groupBy("record").agg(F.count("*").alias("n"))
+    joined = sizes.join(of_spec.unionByName(of_font), "record", "left").join(direction, "record", "left")
+    own = F.when(F.col("record").startswith("f"), F.concat(F.lit("1"), F.substr("record", F.lit(2)))).otherwise(F.concat(F.lit("2"), "record"))
+    return joined.select("record", F.coalesce("component", own).alias("component"), F.coalesce("label", F.lit("")).alias("label"), "n")
+
+
+def tasks_of_records(tasks: DataFrame, fonts: DataFrame) -> DataFrame:
+    """``idx, record``: each task with the record it belongs to: ``s`` and its specification, else ``f`` and its font, else ``t`` and its idx."""
+    one = pick_one(tasks.where("idx IS NOT NULL").select("idx", "spec_name", "font_path"), "idx", "spec_name", "font_path")
+    loose = one.where("spec_name IS NULL")
+    spelt = loose.join(right_names(loose, "font_path", fonts, "font_path"), "font_path", "left")
+    own = spelt.select("idx", F.coalesce(F.concat(F.lit("f"), "node"), F.concat(F.lit("t"), F.col("idx").cast("string"))).alias("record"))
+    return one.where("spec_name IS NOT NULL").select("idx", F.concat(F.lit("s"), "spec_name").alias("record")).unionByName(own)
+
+
+class _Shares:
+    """What the splits hold so far, and which one a component should go to."""
+
+    def __init__(self, shares: dict[str, float], per_label: np.ndarray) -> None:
+        self.names = sorted(shares)
+        part = np.array([shares[s] for s in self.names])
+        self.want = np.outer(part / part.sum(), per_label)
+        self.total = max(1.0, per_label.sum())
+        self.got = np.zeros_like(self.want)
+
+    def best(self, add: np.ndarray) -> int:
+        """The split whose deviation (of each label, and twice that of all) grows least by add; the first of equal ones."""
+        lack = self.want - self.got
+        by_label = np.abs(lack - add).sum(1) - np.abs(lack).sum(1)
+        in_all = np.abs(lack.sum(1) - add.sum()) - np.abs(lack.sum(1))
+        return int(np.argmin(np.round((by_label + 2 * in_all) / self.total, 12)))
+
+    def take(self, split: int, add: np.ndarray) -> None:
+        self.got[split] += add
+
+
+def plan_classes(classes: list[tuple[int, int, np.ndarray]], shares: dict[str, float], per_label: np.ndarray) -> list[tuple[int, int, int, str]]:
+    """(class, first rank, rank after the last, split) for classes (id, components, records by label in all)."""
+    state, out = _Shares(shares, per_label), []
+    for c, k, total in sorted(classes, key=lambda x: (-x[2].sum() / x[1], x[0])):
+        mean, taken, left = total / k, np.zeros(len(state.names), int), k
+        while left:
+            m = min(left, -(-k // STEPS))
+            s = state.best(mean * m)
+            state.take(s, mean * m)
+            taken[s] += m
+            left -= m
+        at = 0
+        for s, m in enumerate(taken.tolist()):
+            if m:
+                out.append((c, at, at + m, state.names[s]))
+                at += m
+    return out
+
+
+def assign(records: DataFrame, targets: DataFrame) -> DataFrame:
+    """``record, component, split_name``: whole components to splits, close to the shares in all and of each label.
+
+    records: ``record, component, label, n``.
+    """
+    spark = records.sparkSession
+    shares = {r["split_name"]: float(r["share"]) for r in targets.where("split_name IS NOT NULL AND share > 0").groupBy("split_name").agg(F.max("share").alias("share")).collect()}
     if not shares:
         raise ValueError("no split is given")
-    sizes = cut_lineage(components.groupBy("component", "label").agg(F.count("*").alias("n")))
-    per_label = {r["label"]: r["n"] for r in sizes.groupBy("label").agg(F.sum("n").alias("n")).collect()}
-    total = sum(per_label.values())
-    whole = sizes.groupBy("component").agg(F.sum("n").alias("size"), F.max_by("label", F.struct("n", "label")).alias("most"))
-    large = whole.where(F.col("size") >= max(1, total * LARGE))
-    of_large = sizes.join(large.select("component", "size"), "component").collect()  # at most 1,000 components
-    by_component: dict[str, dict[str, int]] = {}
-    for r in of_large:
-        by_component.setdefault(r["component"], {})[r["label"]] = r["n"]
-    got = {s: dict.fromkeys(per_label, 0) for s in shares}
-    placed: list[tuple[str, str]] = []
-
-    def deviation(split: str, add: dict[str, int]) -> float:
-        d = 0.0
-        for s, share in shares.items():
-            for x, n in per_label.items():
-                d += abs(got[s][x] + (add.get(x, 0) if s == split else 0) - share * n) / total
-            d += 2 * abs(sum(got[s].values()) + (sum(add.values()) if s == split else 0) - share * total) / total
-        return d
-
-    for c, add in sorted(by_component.items(), key=lambda kv: (-sum(kv[1].values()), kv[0])):
-        best = min(shares, key=lambda s: (round(deviation(s, add), 12), s))
-        placed.append((c, best))
-        for x, n in add.items():
-            got[best][x] += n
-    # The rest: within each label, ordered by a hash, cut at what each split still lacks of it.
-    lack = {x: {s: max(0.0, shares[s] * n - got[s][x]) for s in shares} for x, n in per_label.items()}
-    spark = components.sparkSession
-    cuts, at = [], {}
-    for x, need in lack.items():
-        sum_need, lo = sum(need.values()) or 1.0, 0.0
-        for s in sorted(shares):
-            hi = lo + need[s] / sum_need
-            cuts.append((x, s, lo, hi))
-            lo = hi
-        at[x] = max(sorted(shares), key=lambda s, need=need: need[s])
-    spans = F.broadcast(spark.createDataFrame(cuts or [("", next(iter(shares)), 0.0, 1.0)], "most string, split_name string, lo double, hi double"))
-    small = whole.join(large.select("component"), "component", "left_anti")
-    # A running sum by label in blocks of the hash, so that no label is ordered in one task.
-    block = F.pmod(F.xxhash64("component"), F.lit(512))
-    blocks = small.groupBy("most", block.alias("block")).agg(F.sum("size").alias("n"))
-    before = blocks.select("most", "block", (F.sum("n").over(Window.partitionBy("most").orderBy("block")) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy("most")).alias("all"))
-    w = Window.partitionBy("most", "block").orderBy("component")
-    mid = small.withColumn("block", block).join(before, ["most", "block"]).withColumn("at", (F.col("before") + F.sum("size").over(w) - F.col("size") / 2) / F.col("all"))
-    cut = mid.join(spans, (mid["most"] == spans["most"]) & (F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi"))).select("component", "split_name")
-    left = mid.join(cut.select("component"), "component", "left_anti").select("component", F.lit(max(sorted(shares), key=lambda s: shares[s])).alias("split_name"))
-    chosen = cut.unionByName(left)
-    if placed:
-        chosen = chosen.unionByName(spark.createDataFrame(placed, "component string, split_name string"))
-    return components.join(chosen, "component").select("idx", "component", "split_name")
+    often = records.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").limit(LABELS - 1).collect()
+    labels = [r["label"] for r in often]
+    in_label = [F.sum(F.when(F.col("label") == x, F.col("n")).otherwise(0)).alias(f"l{k}") for k, x in enumerate(labels)]
+    vector = [f"l{k}" for k in range(len(labels))] + ["other"]
+    wholes = records.groupBy("component").agg(F.sum("n").alias("size"), *in_label).withColumn("other", F.col("size") - sum((F.col(x) for x in vector[:-1]), F.lit(0)))
+    # About the same size: to one part in eight; about the same mix: each label's share to the sixteenth.
+    octave = F.floor(F.log2("size"))
+    size_class = F.when(F.col("size") < 16, F.col("size")).otherwise(octave * 8 + F.floor(F.col("size") / F.pow(F.lit(2.0), octave - 3))).cast("bigint")
+    mix = F.concat_ws(",", *(F.round(F.col(x) / F.col("size") * 16).cast("int").cast("string") for x in vector))
+    wholes = cut_lineage(wholes.withColumn("size_class", size_class).withColumn("mix", mix).withColumn("turn", F.xxhash64("component")))
+    of_class = wholes.groupBy("size_class", "mix").agg(F.count("*").alias("k"), *(F.sum(x).alias(x) for x in vector))
+    told = of_class.orderBy(F.desc(F.col("size_class")), F.desc("k"), "mix").limit(CLASSES).select("size_class", "mix", F.col("mix").alias("told"))
+    # The kinds of mixes are many only where labels are; beyond CLASSES a class is a size.
+    named = of_class.join(F.broadcast(told), ["size_class", "mix"], "left").groupBy("size_class", F.coalesce("told", F.lit("")).alias("told")).agg(F.sum("k").alias("k"), *(F.sum(x).alias(x) for x in vector)).collect()
+    number = {(r["size_class"], r["told"]): c for c, r in enumerate(sorted(named, key=lambda r: (r["size_class"], r["told"])))}
+    classes = [(number[r["size_class"], r["told"]], r["k"], np.array([float(r[x]) for x in vector])) for r in named]
+    spans = plan_classes(classes, shares, sum((v for _, _, v in classes), np.zeros(len(vector))))
+    blocks = {c: -(-k // RANK_BLOCK) for c, k, _ in classes}
+    numbers = spark.createDataFrame([(s, t, c, blocks[c]) for (s, t), c in number.items()], "size_class bigint, told string, class int, blocks bigint")
+    classed = wholes.select("component", "size_class", "mix", "turn").join(F.broadcast(told), ["size_class", "mix"], "left").withColumn("told", F.coalesce("told", F.lit(""))).join(F.broadcast(numbers), ["size_class", "told"])
+    classed = classed.select("component", "class", "turn", F.floor((F.col("turn") / F.pow(F.lit(2.0), F.lit(64.0)) + 0.5) * F.col("blocks")).alias("block"))
+    before = classed.groupBy("class", "block").agg(F.count("*").alias("k")).select("class", "block", (F.sum("k").over(Window.partitionBy("class").orderBy("block")) - F.col("k")).alias("before"))
+    ranked = classed.join(before, ["class", "block"]).select("component", "class", (F.col("before") + F.row_number().over(Window.partitionBy("class", "block").orderBy("turn", "component")) - 1).alias("rank"))
+    cuts = F.broadcast(spark.createDataFrame(spans, "class int, lo bigint, hi bigint, split_name string"))
+    chosen = ranked.join(cuts, "class").where("rank >= lo AND rank < hi").select("component", "split_name")
+    return salted_join(records.select("record", "component"), chosen, "component", ["record"])
+
+
+def task_splits(tasks: DataFrame, specs: DataFrame, corpus: DataFrame, fonts: DataFrame, by: Restorer, targets: DataFrame) -> DataFrame:
+    """``idx, component, split_name`` of every task."""
+    placed = cut_lineage(tasks_of_records(tasks, fonts))
+    ties = cut_lineage(record_ties(tasks, specs, corpus, fonts, by))
+    assigned = cut_lineage(assign(record_components(placed, ties, specs), targets))
+    return salted_join(placed, assigned, "record", ["idx"]).select("idx", "component", "split_name")

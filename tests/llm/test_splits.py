@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quillspark.llm import splits
 from quillspark.llm.encoding import CharacterModel, Restorer
+from quillspark.operators import skew
 
 PLAIN = Restorer(CharacterModel({"aa": 1}), [])
 
@@ -45,12 +46,21 @@ def brute(edges):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_components(spark, seed):
+@pytest.mark.parametrize("hot", [10, 10**9])
+def test_components(spark, seed, hot, monkeypatch):
+    """Against union-find; also with every key treated as hot."""
+    monkeypatch.setattr(splits, "HOT_ROWS", min(hot, 1000))
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (hot,))
+    monkeypatch.setattr(skew.salted_join, "__defaults__", ("inner", hot))
     r = random.Random(seed)
-    edges = [(f"c{r.randrange(60):03d}", f"f{r.randrange(70):03d}") for _ in range(70)]
-    edges += [(f"z{k:03d}", f"g{k:03d}") for k in range(40)] + [(f"z{k + 1:03d}", f"g{k:03d}") for k in range(39)]  # a long chain
-    df = spark.createDataFrame(edges, "a string, b string").distinct()
-    assert {r["a"]: r["label"] for r in splits.propagate(df, "a", "b").collect()} == brute(edges)
+    edges = [(f"r{r.randrange(60):03d}", f"f{r.randrange(70):03d}") for _ in range(70)]
+    edges += [(f"q{k:03d}", f"g{k:03d}") for k in range(40)] + [(f"q{k + 1:03d}", f"g{k:03d}") for k in range(39)]  # a long chain
+    edges += [(f"h{k:03d}", "hub") for k in range(30)] + [("h000", f"e{k}") for k in range(30)]
+    df = spark.createDataFrame([*edges, *edges[:5], (None, "f001"), ("r001", None)], "record string, entity string")
+    got = {r["entity"]: r["label"] for r in splits.propagate(df).collect()}
+    want = brute([(e, r) for r, e in edges])
+    assert {x: got.get(x, x) for x in want} == want
+    assert splits.propagate(df.limit(0)).count() == 0
 
 
 def tables(spark):
@@ -61,27 +71,60 @@ def tables(spark):
 
 
 def test_groups(spark):
-    got = {tuple(r) for r in splits.held_together(splits.corpus_groups(*tables(spark), PLAIN)).collect()}
+    got = {tuple(r) for r in splits.held_together(splits.corpus_groups(splits.record_ties(*tables(spark), PLAIN))).collect()}
     assert got == {("x/one.txt", "x/two.txt"), ("x/five.txt", "x/four.txt")}
 
 
-def test_splits_keep_components_whole(spark):
+def test_a_specification_without_a_corpus_file_ties_its_fonts(spark):
+    tasks = spark.createDataFrame([(1, "a", "/f/1.ttf"), (2, "x", "/f/1.ttf"), (3, "x", "/f/2.ttf"), (4, "b", "/f/2.ttf"), (5, "c", None)], "idx bigint, spec_name string, font_path string")
+    specs = spark.createDataFrame([("a", "a.txt", "l"), ("x", None, "l"), ("b", "b.txt", None), ("c", "c.txt", "l")], "spec_name string, corpus_file string, text_direction string")
+    corpus = spark.createDataFrame([("a.txt",), ("b.txt",), ("c.txt",)], "corpus_file string")
+    fonts = spark.createDataFrame([("/f/1.ttf",)], "font_path string")
+    assert {tuple(r) for r in splits.held_together(splits.corpus_groups(splits.record_ties(tasks, specs, corpus, fonts, PLAIN))).collect()} == {("a.txt", "b.txt")}
+
+
+TARGETS = (("train", 0.8), ("validation", 0.1), ("test", 0.1))
+
+
+def targets_(spark):
+    return spark.createDataFrame(TARGETS, "split_name string, share double")
+
+
+def test_assignment(spark):
+    """Components stay whole; shares hold in all and for each label, with a huge component and very many small ones."""
     r = random.Random(3)
-    rows = [(k, f"c{int(r.random() ** 3 * 400)}", "ab"[k % 2]) for k in range(6000)] + [(10_000 + k, "huge", "a") for k in range(1500)]
-    df = spark.createDataFrame(rows, "idx bigint, component string, label string")
-    targets = spark.createDataFrame([("train", 0.8), ("validation", 0.1), ("test", 0.1)], "split_name string, share double")
-    got = splits.assign(df, targets).collect()
-    assert len(got) == len(rows) and len({g["idx"] for g in got}) == len(rows)
+    rows = [(f"r{k}", f"c{int(r.random() ** 3 * 2000)}", "ab"[k % 5 == 0], 1 + k % 3) for k in range(6000)] + [("huge", "huge", "a", 1500)] + [(f"one{k}", f"one{k}", "abc"[k % 3], 1) for k in range(5000)]
+    df = spark.createDataFrame(rows, "record string, component string, label string, n bigint")
+    got = {g["record"]: g for g in splits.assign(df, targets_(spark)).collect()}
+    assert len(got) == len(rows)
     of = {}
-    for g in got:
+    for g in got.values():
         assert of.setdefault(g["component"], g["split_name"]) == g["split_name"]
-    for name, share in (("train", 0.8), ("validation", 0.1), ("test", 0.1)):
-        assert abs(sum(g["split_name"] == name for g in got) / len(rows) - share) < 0.03
+    for label in (None, "a", "b", "c"):
+        own = [(rec, n) for rec, _, x, n in rows if label in (None, x)]
+        for name, share in TARGETS:
+            assert abs(sum(n for rec, n in own if got[rec]["split_name"] == name) / sum(n for _, n in own) - share) < 0.01
     with pytest.raises(ValueError):
-        splits.assign(df, targets.limit(0))
-    assert splits.assign(df.limit(0), targets).count() == 0
-
-
-def test_tasks_without_ties(spark):
-    got = {r["idx"]: r["component"] for r in splits.task_components(*tables(spark), PLAIN).collect()}
-    assert got[0] == got[1] == got[6] and got[2] == got[3] and got[4] == got[5] and got[2] != got[4]
+        splits.assign(df, targets_(spark).limit(0))
+    assert splits.assign(df.limit(0), targets_(spark)).count() == 0
+
+
+def test_many_labels_and_rare_classes(spark, monkeypatch):
+    monkeypatch.setattr(splits, "CLASSES", 3)
+    rows = [(f"r{k}", f"c{k // 3}", f"label{k % 40}", 1 + k % 50) for k in range(3000)]
+    df = spark.createDataFrame(rows, "record string, component string, label string, n bigint")
+    got = splits.assign(df, targets_(spark)).collect()
+    assert len(got) == len({g["record"] for g in got}) == 3000
+    size = {r: n for r, _, _, n in rows}
+    for name, share in TARGETS:
+        assert abs(sum(size[g["record"]] for g in got if g["split_name"] == name) / sum(size.values()) - share) < 0.01
+
+
+def test_tasks_by_their_components(spark):
+    tasks, specs, corpus, fonts = tables(spark)
+    more = spark.createDataFrame([(7, None, "/f/A.ttf"), (8, None, None), (9, "unknown", None), (10, "unknown", "/f/b.ttf"), (6, "s1", "/f/zz.ttf"), (None, "s1", None)], tasks.schema)
+    got = {r["idx"]: r for r in splits.task_splits(tasks.unionAll(more), specs, corpus, fonts, PLAIN, targets_(spark)).collect()}
+    assert sorted(got) == list(range(11))
+    c = {k: r["component"] for k, r in got.items()}
+    assert c[0] == c[1] == c[6] == c[7] and c[2] == c[3] and c[4] == c[5] == c[9] == c[10] and len({c[0], c[2], c[4], c[8]}) == 4
+    assert all(got[a]["split_name"] == got[b]["split_name"] for a in got for b in got if c[a] == c[b])
