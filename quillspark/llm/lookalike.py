@@ -6,8 +6,11 @@ Cyrillic and Greek that have the same shape become one letter. Full case folding
 (``search_form``); the ``visible_form`` keeps what a reader sees: letter case, accents, raised and lowered digits, fractions
 and other signs whose compatibility form looks different, and every single blank.
 
-The work is done once for each distinct value of a batch, ASCII values without control characters never leave the JVM, and
-only a digest of the form is shuffled, never the text.
+The work is done once for each distinct value of a batch, and ASCII values without control characters never leave the JVM.
+Look-alike texts are found among distinct texts: digests of form and text are combined where they lie, and only forms with two
+digests of texts go on. The operator's result has one row per record with its class and number of links, and the pairs of
+different texts; all pairs of records are written out from blocks of their ids only where they are asked for, so a text with a
+third of all rows is compared once and never gathered.
 
 Defined results: null stays null; an empty text and one of invisible characters only look the same; a tab or line end is a
 blank; other control characters stay; rows with a null id are left out of pairs; an id with several texts counts once for
@@ -24,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspark.operators.skew import pairs_between, salted_join
+
 # Letters of the same shape, each line the Latin letter and its doubles (after the Unicode confusables data).
 SAME_SHAPE = {
     "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "F": "Ϝ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ", "K": "КΚ", "M": "МΜϺ", "N": "Ν", "O": "ОΟ", "P": "РΡ", "S": "Ѕ", "T": "ТΤ",
@@ -104,7 +109,7 @@ def _per_distinct(of) -> object:  # noqa: ANN001
 
 
 def _plain_ascii(text: F.Column) -> F.Column:
-    return text.rlike(r"^[\x20-\x7E]*$")
+    return text.rlike(r"\A[\x20-\x7E]*\z")  # not ^ and $: these fit before a last line end, too
 
 
 def normalised(df: DataFrame, text_col: str = "text", visible: str = "visible_form", search: str = "search_form") -> DataFrame:
@@ -113,21 +118,40 @@ def normalised(df: DataFrame, text_col: str = "text", visible: str = "visible_fo
     return df.withColumn(visible, F.when(_plain_ascii(text), text).otherwise(_per_distinct(visible_form)(text))).withColumn(search, F.when(_plain_ascii(text), F.lower(text)).otherwise(_per_distinct(search_form)(text)))
 
 
-def lookalike_groups(df: DataFrame, id_col: str = "idx", text_col: str = "text") -> DataFrame:
-    """``id, text, form``: the rows whose visible form belongs to at least two different texts. form: a digest."""
+def lookalike_texts(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``form, text_key``: the different texts whose visible form belongs to at least two of them, as digests."""
     text = F.col(text_col)
-    ascii_rows = df.where(_plain_ascii(text)).select(F.col(id_col).alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("form"))
-    other = df.where(text.isNotNull() & ~_plain_ascii(text)).select(F.col(id_col).alias("id"), text.alias("text"), F.unhex(F.md5(_per_distinct(visible_form)(text))).alias("form"))
-    rows = ascii_rows.unionByName(other).where(F.col("id").isNotNull())
-    seen = rows.select("form", F.xxhash64("text").alias("of")).groupBy("form").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo <> hi").select("form")
-    return rows.join(seen, "form", "left_semi").dropDuplicates(["id", "text"])
+    ascii_texts = df.where(_plain_ascii(text)).select(F.unhex(F.md5(text)).alias("form"), F.xxhash64(text).alias("text_key"))
+    others = df.where(text.isNotNull() & ~_plain_ascii(text)).select(F.unhex(F.md5(_per_distinct(visible_form)(text))).alias("form"), F.xxhash64(text).alias("text_key"))
+    texts = ascii_texts.unionByName(others)
+    seen = texts.groupBy("form").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).where("lo <> hi").select("form")
+    found = texts.distinct()
+    return found.join(seen, "form", "left_semi")
+
+
+def lookalike_rows(df: DataFrame, texts: DataFrame, id_col: str = "idx", text_col: str = "text") -> DataFrame:
+    """``id, text, text_key, form`` (distinct) of the rows with one of the texts of ``lookalike_texts``."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key")).where("id IS NOT NULL AND text IS NOT NULL")
+    return salted_join(rows, texts, "text_key", ["id"]).distinct()
+
+
+def lookalike_classes(rows: DataFrame) -> DataFrame:
+    """``id, form, n_links``: each row with its class and the number of other rows that look the same and differ.
+
+    An id with several texts has a row for each class, and links from any of its texts in it.
+    """
+    own = rows.groupBy("form", "text_key").agg(F.count_distinct("id").alias("n"))
+    total = own.groupBy("form").agg(F.sum("n").alias("all"), F.count("*").alias("texts")).where("texts > 1").select("form", "all")
+    linked = salted_join(rows.select("id", "text_key"), own.join(total, "form"), "text_key", ["id"])
+    return linked.groupBy("id", "form").agg(F.max(F.col("all") - F.col("n")).alias("n_links"))
 
 
-def lookalike_pairs(groups: DataFrame) -> DataFrame:
+def lookalike_pairs(rows: DataFrame) -> DataFrame:
     """``idx_a, idx_b`` (a < b): different tasks whose texts look alike and are not the same string.
 
-    Texts are counted once per group first: the join is between distinct texts, and only then are their ids attached.
+    Different texts are joined first; then the ids of each pair of texts are written out from blocks.
     """
-    a = groups.select("form", F.col("text").alias("text_a"), F.col("id").alias("idx_a"))
-    b = groups.select("form", F.col("text").alias("text_b"), F.col("id").alias("idx_b"))
-    return a.join(b, "form").where("idx_a < idx_b AND text_a <> text_b").select("idx_a", "idx_b").distinct()
+    texts = rows.select("form", "text_key").distinct()
+    a, b = texts.select("form", F.col("text_key").alias("key_a")), texts.select("form", F.col("text_key").alias("key_b"))
+    linked = a.join(b, "form").where("key_a < key_b").select("key_a", "key_b")
+    return pairs_between(linked, "key_a", "key_b", rows.select("text_key", "id").distinct(), "text_key", "id", "idx_a", "idx_b").distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm import encoding, leakage, lookalike, packing, quality, splits, terms
+from quillspark.operators.skew import pick_one, salted_join
 from quillspark.session import cut_lineage
 from quillspark.sources.tables import table
 
@@ -50,14 +51,25 @@ def p3_splits(spark: SparkSession, d: str) -> DataFrame:
     return splits.task_splits(*_groups(spark, d), table(spark, d, "split_targets"))
 
 
+def _lookalikes(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of look-alike texts that aren't damaged; damage is judged once for each different text."""
+    tasks = table(spark, d, "tasks").select("idx", "text")
+    rows = cut_lineage(lookalike.lookalike_rows(tasks, cut_lineage(lookalike.lookalike_texts(tasks))))
+    texts = rows.groupBy("text_key").agg(F.min("text").alias("text"))
+    sound = texts.where(~encoding.is_damaged(F.col("text"), restorer(spark, d))).select("text_key")
+    return cut_lineage(salted_join(rows.select("id", "text_key", "form"), cut_lineage(sound), "text_key", ["id"], "left_semi"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    groups = cut_lineage(lookalike.lookalike_groups(table(spark, d, "tasks")))  # few rows; else the filter would be moved to all of them
-    sound = groups.where(~encoding.is_damaged(F.col("text"), restorer(spark, d)))
-    return lookalike.lookalike_pairs(sound)
+    return lookalike.lookalike_pairs(_lookalikes(spark, d))
+
+
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.lookalike_classes(_lookalikes(spark, d)).select(F.col("id").alias("idx"), F.hex("form").alias("class"), "n_links")
 
 
 def p4_forms(spark: SparkSession, d: str) -> DataFrame:
-    return lookalike.normalised(table(spark, d, "tasks").select("idx", "text").where("text IS NOT NULL").dropDuplicates(["idx"]))
+    return lookalike.normalised(pick_one(table(spark, d, "tasks").select("idx", "text").where("idx IS NOT NULL AND text IS NOT NULL"), "idx", "text"))
 
 
 def p6_packed(spark: SparkSession, d: str) -> DataFrame:
@@ -80,7 +92,7 @@ def p8_statistics(spark: SparkSession, d: str) -> DataFrame:
     return quality.text_statistics(table(spark, d, "documents"), table(spark, d, "common_words"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_terms, p3_found, p3_splits, p4_found, p4_forms, p6_packed, p6_fill, p7_found, p8_found, p8_statistics)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_terms, p3_found, p3_splits, p4_found, p4_classes, p4_forms, p6_packed, p6_fill, p7_found, p8_found, p8_statistics)}
 SQL: dict[str, str] = {
     "p2_found": """
         WITH t AS (SELECT DISTINCT idx, text, font_path FROM tasks), n AS (SELECT count(DISTINCT idx) AS n FROM tasks),

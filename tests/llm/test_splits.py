@@ -45,8 +45,7 @@ def brute(edges):
     return {x: min(g) for g in groups.values() for x in g}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hot", [10, 10**9])
+@pytest.mark.parametrize(("seed", "hot"), [(1, 10), (2, 10**9)])
 def test_components(spark, seed, hot, monkeypatch):
     """Against union-find; also with every key treated as hot."""
     monkeypatch.setattr(splits, "HOT_ROWS", min(hot, 1000))
