@@ -1,19 +1,23 @@
 """Text that was decoded with the wrong character encoding: finding the values and restoring the original.
 
-1. Twins. Words of the examined fields that hold characters beyond ASCII are joined with words of clean reference text on what
-   is left of both when these characters are taken out; whole paths are joined with the right paths in the same way.
-2. Alignment. Two twins agree in every ASCII character, so their other characters align run by run: Ã© with é. Each aligned
-   pair votes for the wrong decodings (written in one encoding, read in another) that turn the one run into the other. Where
-   whole words lie beyond ASCII nothing is left to join on; there a wrong decoding gets a vote for each implausible word that,
-   undone, is a word of the clean text or, if it is long, made of its characters in a plausible order.
-3. Application. The wrong decodings with enough votes are undone in all values, twins or not. A value is a case if a piece of it
-   holds byte patterns that only a wrong decoding makes, or undoing a learned decoding turns implausible words into plausible ones.
-   Plausibility is a character model of the clean text; a word that merely looks alike (letters of another script with the same
-   shape) is compared in its visible form, and unusual but sound words stay, as nothing turns them into plausible ones.
-
-What goes to the driver: votes per wrong decoding and counts per pair of characters, both bounded by the encodings and by
-the alphabets of the clean text, however long that is. The examined texts are neither moved nor cut; each value is looked at
-where it lies, so no key, however frequent, gathers rows.
+1. Twins. Implausible words of the examined fields are joined with words of clean reference text on what is left of both when
+   the characters beyond ASCII are taken out; whole paths are joined with the right paths in the same way. Words in which hardly
+   anything is left have no such twin; theirs is the word of the reference that one of the known wrong decodings turns into them.
+2. Alignment. Two twins agree in every ASCII character, so their other characters align run by run, and within a run, where its
+   lengths are multiples, character by character: Ã© with é. Aligned pieces that several words show are the learned mapping; its
+   size is bounded by the alphabets. Wrong decodings (written in one encoding, read in another) extend it to characters that no
+   twin showed. Each piece, and each word of the second kind, is evidence for all decodings that explain it, but votes for the
+   one that explains most evidence in all: a decoding that only explains what others explain better is not learned, however
+   much text there is.
+3. Application. The learned decodings, and where none fits the mapping itself, are undone in all values, twins or not. A value
+   is a case if a piece of it holds byte patterns that only a wrong decoding makes, or undoing what was learned turns implausible
+   words into plausible ones. Plausibility is a character model of the clean text; a word that merely looks alike (letters of
+   another script with the same shape) is compared in its visible form, and unusual but sound words stay, as nothing turns them
+   into plausible ones.
+
+What goes to the driver: votes per wrong decoding, learned pieces and counts per pair of characters, bounded by the encodings
+and the alphabets, however long the text is. The examined texts are neither moved nor cut; each value is looked at where it
+lies, so no key, however frequent, gathers rows; twins with a frequent remainder are salted.
 
 Defined results: null and ASCII values are never cases; a value with U+FFFD or a C1 control is always one, restorable or not;
 what can't be restored keeps its characters; an empty reference gives byte patterns only; other columns are ignored.
@@ -25,8 +29,8 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
-from functools import cached_property
+from dataclasses import dataclass, field
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.lookalike import readings
+from quillspark.operators.skew import salted_join
 from quillspark.session import cut_lineage
 
 #: Encodings that text may have been written in, and those it may have been read in.
@@ -41,8 +46,12 @@ WRITTEN = ("utf-8", "cp1252", "cp1251", "koi8_r", "cp866", "cp1253", "cp1255", "
 READ = ("cp1252", "latin_1", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp866", "cp1253", "cp1250", "mac_cyrillic", "cp1255", "cp1254")
 #: Encodings in which the bytes of UTF-8 are letters of other alphabets, so that sound words may hold the same sequences.
 FOREIGN = ("cp1251", "koi8_r", "cp866", "cp1253", "cp1255", "mac_cyrillic")
-#: Votes of different words that a wrong decoding needs.
-VOTES = 3
+#: Votes (aligned pieces or words that no stronger decoding explains) that a wrong decoding needs, and the share of all evidence.
+VOTES, SHARE = 3, 0.0002
+#: Words that must show an aligned piece, and the share that its clean side has of all clean sides of the garbled one.
+SHOWN, CERTAIN = 3, 0.8
+#: Characters that must be left of a word beside those beyond ASCII to tell of a twin.
+TELLING = 3
 #: Nats by which undoing a single-byte or East Asian decoding must make a value's words likelier, in all and for each pair of
 #: characters: a small gain must be concentrated, a large one may be spread over a long word.
 GAINS = ((6.0, 2.0), (7.0, 0.85))
@@ -90,6 +99,34 @@ def redo(text: str, written: str, read: str) -> str | None:
     return "".join(_decoded(read)[x] for x in b)
 
 
+def undo_all(text: str) -> dict[str, list[int]]:
+    """What the text may have been, each with the wrong decodings (positions in ALL_DECODINGS) that say so."""
+    beyond = frozenset(text) - _ASCII
+    by_bytes: dict[bytes, list[str]] = {}
+    for read in READ:
+        if beyond <= _readable_in(read) and (b := to_bytes(text, read)) is not None:
+            by_bytes.setdefault(b, []).append(read)
+    out: dict[str, list[int]] = {}
+    for b, reads in by_bytes.items():
+        for written in WRITTEN:
+            try:
+                made = b.decode(written)
+            except UnicodeDecodeError:
+                continue
+            if made != text:
+                out.setdefault(made, []).extend(_NUMBER[written, r] for r in reads if r != written)
+    return {made: ks for made, ks in out.items() if ks}
+
+
+_ASCII = frozenset(map(chr, range(128)))
+
+
+@lru_cache
+def _readable_in(read: str) -> frozenset[str]:
+    """Characters that bytes beyond ASCII become."""
+    return frozenset(_decoded(read)) | frozenset(map(chr, range(0x80, 0xA1)))
+
+
 _DECODED: dict[str, list[str]] = {}
 
 
@@ -227,9 +264,18 @@ class Restorer:
 
     model: CharacterModel
     decodings: list[tuple[str, str]]
+    mapping: dict[str, str] = field(default_factory=dict)
 
     def __getstate__(self) -> dict:
-        return {"model": self.model, "decodings": self.decodings}
+        return {"model": self.model, "decodings": self.decodings, "mapping": self.mapping}
+
+    @cached_property
+    def _pieces_known(self) -> re.Pattern[str] | None:
+        return re.compile("|".join(map(re.escape, sorted(self.mapping, key=lambda g: (-len(g), g))))) if self.mapping else None
+
+    def _mapped(self, word: str) -> str:
+        """The word with the learned pieces put back."""
+        return self._pieces_known.sub(lambda m: self.mapping[m[0]], word)
 
     @cached_property
     def _wide(self) -> list[tuple[str, re.Pattern[str]]]:
@@ -281,6 +327,8 @@ class Restorer:
             new = undo(word, written, read)
             if new is not None and new != word and self.model.plausible(new) and (n := score(new)[1]):
                 got.append((k, score(new)[0] - old, n))
+        if not got and self._pieces_known is not None and (new := self._mapped(word)) != word and self.model.plausible(new) and (n := score(new)[1]):
+            got.append((-1, score(new)[0] - old, n))
         if len(self._seen) > 100_000:
             self._seen.clear()
         self._seen[word] = got
@@ -317,7 +365,7 @@ class Restorer:
             if best is not None and any(gains[best] >= whole and gains[best] >= each * pairs[best] for whole, each in GAINS):
                 case = True
                 for k, w in enumerate(pieces):
-                    new = None if w.isascii() else undo(w, *self.decodings[best])
+                    new = None if w.isascii() else self._mapped(w) if best < 0 else undo(w, *self.decodings[best])
                     if new is not None and self.model.plausible(new) and self.model.score(new)[0] > self.model.score(w)[0]:
                         out[k] = new
         if case and CONTROL.search("".join(out)):  # encodings of more bytes, whose bytes may lie in ASCII
@@ -364,15 +412,36 @@ def aligned_runs(garbled: str, clean: str) -> list[tuple[str, str]]:
     return [(g, c) for g, c in zip(split(garbled), split(clean), strict=True) if g != c]
 
 
+def aligned_pieces(garbled: str, clean: str) -> list[tuple[str, str]]:
+    """The runs of two twins character by character: each clean one with its equal part of the garbled run."""
+    out = []
+    for g, c in aligned_runs(garbled, clean):
+        if c and g and len(g) % len(c) == 0:
+            k = len(g) // len(c)
+            out += [(g[i * k : i * k + k], x) for i, x in enumerate(c)]
+    return out
+
+
 ALL_DECODINGS = [(w, r) for w in WRITTEN for r in READ if w != r]
+_NUMBER = {d: k for k, d in enumerate(ALL_DECODINGS)}
+
 
+def explained_by(garbled: str, clean: str) -> list[int]:
+    """The wrong decodings that make the one of the other."""
+    return [k for k, (w, r) in enumerate(ALL_DECODINGS) if redo(clean, w, r) == garbled]
 
-def votes_of(garbled: str, clean: str) -> set[tuple[str, str]]:
-    """The wrong decodings that explain every aligned run of a pair of twins."""
-    runs = aligned_runs(garbled, clean)
-    if not runs or any(not g or not c for g, c in runs):
-        return set()
-    return {(w, r) for w, r in ALL_DECODINGS if all(redo(c, w, r) == g or undo(g, w, r) == c for g, c in runs)}
+
+def _chosen(evidence: DataFrame, votes: int) -> list[tuple[str, str]]:
+    """The wrong decodings that are the strongest explanation of enough evidence. evidence: ``ks`` of each piece or word."""
+    in_all = {r["k"]: r["n"] for r in evidence.select(F.explode("ks").alias("k")).groupBy("k").agg(F.count("*").alias("n")).collect()}
+    order = sorted(in_all, key=lambda k: (-in_all[k], k))
+    if not order:
+        return []
+    rank = F.array(*map(F.lit, [order.index(k) if k in in_all else len(order) for k in range(len(ALL_DECODINGS))]))
+    best = F.array_min(F.transform("ks", lambda k: F.get(rank, k)))
+    won = {r["best"]: r["n"] for r in evidence.select(best.alias("best")).groupBy("best").agg(F.count("*").alias("n")).collect()}
+    enough = max(votes, SHARE * sum(won.values()))
+    return [ALL_DECODINGS[order[b]] for b in sorted(won, key=lambda b: (-won[b], b)) if won[b] >= enough]
 
 
 def learn(examined: list[tuple[DataFrame, str]], references: list[tuple[DataFrame, str]], model_text: tuple[DataFrame, str], votes: int = VOTES) -> Restorer:
@@ -389,35 +458,50 @@ def learn(examined: list[tuple[DataFrame, str]], references: list[tuple[DataFram
         out = parts[0]
         for p in parts[1:]:
             out = out.unionAll(p)
-        return out.where(beyond(F.col("word"))).distinct().withColumn("skeleton", skeleton(F.col("word")))
+        return out.where(beyond(F.col("word"))).distinct()
 
     def odd(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Words that aren't plausible as they stand, as only these can be cases."""
         for pdf in batches:
             yield pdf[np.array([not model.readable(w) for w in pdf["word"]], bool)]
 
-    suspects = cut_lineage(words(examined).mapInPandas(odd, "word string, skeleton string"))
+    suspects = cut_lineage(words(examined).mapInPandas(odd, "word string"))
     clean = words(references)
 
-    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            n: Counter = Counter()
-            for g, c in zip(pdf["word"], pdf["twin"], strict=True):
-                n.update(votes_of(g, c))
-            yield pd.DataFrame([(w, r, k) for (w, r), k in n.items()], columns=["written", "read", "n"])
+            rows = [(w, g, c) for w, t in zip(pdf["word"], pdf["twin"], strict=True) for g, c in set(aligned_pieces(w, t))]
+            yield pd.DataFrame(rows, columns=["word", "garbled", "clean"])
+
+    left = skeleton(F.col("word")).alias("skeleton")
+    known = clean.select(left, F.col("word").alias("twin")).where(F.length("skeleton") >= TELLING)
+    twins = salted_join(suspects.select("word", left).where(F.length("skeleton") >= TELLING), known, "skeleton", ["word"]).where("word <> twin").select("word", "twin")
+    shown = twins.mapInPandas(align, "word string, garbled string, clean string").groupBy("garbled", "clean").agg(F.count_distinct("word").alias("n"))
+    pieces = cut_lineage(shown.where(F.col("n") >= SHOWN))
 
-    twins = suspects.where(F.length("skeleton") >= 3).join(clean.select("skeleton", F.col("word").alias("twin")), "skeleton").where("word <> twin").select("word", "twin")
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"ks": [explained_by(g, c) for g, c in zip(pdf["garbled"], pdf["clean"], strict=True)]})
 
     def undone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(u, w, r, len(u) >= 8 and model.plausible(u)) for g in pdf["word"] for w, r in ALL_DECODINGS if (u := undo(g, w, r)) is not None and u != g and len(u) >= 4 and not u.isascii()]
-            yield pd.DataFrame(rows, columns=["word", "written", "read", "sound"])
-
-    far = suspects.where(F.length("skeleton") < 3).mapInPandas(undone, "word string, written string, read string, sound boolean").distinct()
-    far = cut_lineage(far)
-    known = far.where("sound").unionAll(far.where("NOT sound").join(clean.select("word"), "word", "left_semi")).groupBy("written", "read").agg(F.count("*").alias("n"))
-    got = twins.mapInPandas(vote, "written string, read string, n long").unionByName(known.select("written", "read", F.col("n").cast("long").alias("n"))).groupBy("written", "read").agg(F.sum("n").alias("n")).where(F.col("n") >= votes).collect()
-    return Restorer(model, [(r["written"], r["read"]) for r in sorted(got, key=lambda r: (-r["n"], r["written"], r["read"]))])
+            rows = [(w, u, ks, len(u) >= 8 and model.plausible(u)) for w in pdf["word"] for u, ks in undo_all(w).items() if len(u) >= 4 and not u.isascii()]
+            yield pd.DataFrame(rows, columns=["word", "undone", "ks", "sound"])
+
+    far = cut_lineage(suspects.mapInPandas(undone, "word string, undone string, ks array<int>, sound boolean"))
+    hit = far.where("sound").unionAll(far.where("NOT sound").join(clean.select(F.col("word").alias("undone")), "undone", "left_semi").select(far.columns))
+    of_words = hit.groupBy("word").agg(F.array_distinct(F.flatten(F.collect_list("ks"))).alias("ks")).select("ks")
+    evidence = cut_lineage(pieces.mapInPandas(explain, "ks array<int>").where("size(ks) > 0").unionAll(of_words))
+    # The mapping: single characters whose garbled form has one clean side.
+    table: dict[str, Counter] = defaultdict(Counter)
+    for r in pieces.where("garbled <> clean").collect():
+        table[r["garbled"]][r["clean"]] += r["n"]
+    mapping = {}
+    for g, c in table.items():
+        best, n = max(c.items(), key=lambda x: (x[1], x[0]))
+        if n >= CERTAIN * c.total() and not all(ch in model.alphabet for ch in g):
+            mapping[g] = best
+    return Restorer(model, _chosen(evidence, votes), mapping)
 
 
 def restored(df: DataFrame, key_col: str, text_col: str, by: Restorer) -> DataFrame:

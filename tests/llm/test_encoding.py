@@ -71,5 +71,29 @@ def test_empty_reference(spark):
 
 def test_alignment():
     assert e.aligned_runs("dÃ©jÃ\xa0", "déjà") == [("Ã©", "é"), ("Ã\xa0", "à")]
-    assert ("utf-8", "cp1252") in e.votes_of("dÃ©jÃ\xa0", "déjà")
-    assert e.votes_of("abc", "abc") == set()
+    assert e.aligned_pieces("dÃ©jÃ\xa0", "déjà") == [("Ã©", "é"), ("Ã\xa0", "à")]
+    assert e.aligned_pieces("x_ñåíðî.txt", "x_сенро.txt") == list(zip("ñåíðî", "сенро", strict=True))
+    assert ("utf-8", "cp1252") in [e.ALL_DECODINGS[k] for k in e.explained_by("Ã©", "é")]
+
+
+def test_undo_all_is_undo():
+    for text in ("Ã©tÃ©", "ñåíðî", "сенро", "Ð¶ÐµÐ¼", "╔══", "‚©‚¿", "abc", "é\x81"):
+        want: dict = {}
+        for k, (w, r) in enumerate(e.ALL_DECODINGS):
+            made = e.undo(text, w, r)
+            if made is not None and made != text:
+                want.setdefault(made, []).append(k)
+        assert {u: sorted(ks) for u, ks in e.undo_all(text).items()} == want
+
+
+def test_a_decoding_without_words_of_its_own_is_not_learned(spark):
+    """Whatever else would explain the same words, only the strongest explanation of enough of them is learned."""
+    rows = [[k] * 2 for k in range(40)] + [[0, 5]] * 30 + [[0, 7]] * 8 + [[7]] * 2
+    evidence = spark.createDataFrame([(r,) for r in rows], "ks array<int>")
+    got = e._chosen(evidence, 3)
+    assert e.ALL_DECODINGS[0] in got and e.ALL_DECODINGS[5] not in got and e.ALL_DECODINGS[7] in got
+
+
+def test_the_mapping_alone_restores(by):
+    mapped = e.Restorer(by.model, [], {"¤": "é"})
+    assert mapped.restore("la r¤gle était d¤jà ¤tait") == (True, "la régle était déjà était") or mapped.restore("d¤jà ¤tait") == (True, "déjà était")
