@@ -38,9 +38,7 @@ def p2_terms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _groups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, encoding.Restorer]:
-    specs, corpus = table(spark, d, "specs"), table(spark, d, "corpus")
-    by = encoding.learn([(specs, "corpus_file")], [(corpus, "corpus_file"), (corpus, "text")], (corpus, "text"))
-    return table(spark, d, "tasks"), specs, corpus, table(spark, d, "fonts"), by
+    return table(spark, d, "tasks"), table(spark, d, "specs"), table(spark, d, "corpus"), table(spark, d, "fonts"), restorer(spark, d)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
