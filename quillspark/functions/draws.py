@@ -31,15 +31,6 @@ def pick(key: Column, tag: str | Column, values: Column) -> Column:
     return F.get(values, F.floor(uniform(key, tag) * F.size(values).cast("double")).cast("int"))
 
 
-def weighted_index(key: Column, tag: str | Column, weights: Column) -> Column:
-    """A position (from 0) in an array of weights, in proportion to them; negative ones count as 0, and if all are 0, all alike."""
-    known = F.transform(weights, lambda w: F.greatest(w, F.lit(0)).cast("bigint"))
-    fair = F.when(F.exists(known, lambda w: w > 0), known).otherwise(F.transform(known, lambda _: F.lit(1).cast("bigint")))
-    ends = F.aggregate(fair, F.array().cast("array<bigint>"), lambda a, w: F.array_append(a, F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0).cast("bigint")) + w))
-    draw = F.transform(F.array(ends), lambda e: F.struct(e.alias("ends"), F.floor(uniform(key, tag) * F.element_at(e, -1).cast("double")).cast("bigint").alias("at")))
-    return F.when(F.size(weights) > 0, F.get(F.transform(draw, lambda d: F.size(F.filter(d["ends"], lambda x: x <= d["at"]))), F.lit(0)))
-
-
 def normal(key: Column, tag: str | Column) -> Column:
     """A standard normal variate from two uniform ones."""
     return F.sqrt(F.lit(-2.0) * F.ln(uniform(key, tagged(tag, "#1")))) * F.cos(F.lit(2 * math.pi) * uniform(key, tagged(tag, "#2")))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.distributions import NAMES
+from quillspark.operators.resources import glob_matches
 
 TOLERANCE = 0.001
 VALUES = {
@@ -61,6 +62,10 @@ def min_max_violations(params: DataFrame) -> DataFrame:
     return _violations(params, 40, F.col("min_value") > F.col("max_value"), F.concat("param", F.lit(": min above max")))
 
 
+def spacing_violations(params: DataFrame) -> DataFrame:
+    return _violations(params, 41, (F.col("param") == "line_spacing") & (F.col("min_value") <= 0), F.lit("line_spacing not positive"))
+
+
 def curve_violations(specs: DataFrame, params: DataFrame) -> DataFrame:
     """Straight text with a radius or amplitude."""
     curved = params.where(F.col("param").isin("arc_radius", "sine_amplitude") & ((F.col("min_value") != 0) | (F.col("max_value") != 0)))
@@ -68,7 +73,11 @@ def curve_violations(specs: DataFrame, params: DataFrame) -> DataFrame:
 
 
 def missing_corpora(specs: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Specifications whose corpus file is neither the name of one nor a pattern that fits one."""
     missing = specs.join(corpus.select("corpus_file"), "corpus_file", "left_anti")
+    patterns = missing.where(F.col("corpus_file").rlike(r"[*?\[]")).select("corpus_file")
+    fitting = glob_matches(patterns, corpus, "corpus_file", "corpus_file").select(F.col("filter").alias("corpus_file")).distinct()
+    missing = missing.join(fitting, "corpus_file", "left_anti")
     return _violations(missing, 60, F.lit(True), F.concat(F.lit("no corpus file: "), F.coalesce("corpus_file", F.lit("null"))))
 
 
@@ -81,7 +90,7 @@ def raw_violations(specs: DataFrame) -> DataFrame:
 
 
 def all_violations(specs: DataFrame, params: DataFrame, corpus: DataFrame) -> DataFrame:
-    parts = [enum_violations(specs, params), range_violations(specs), min_max_violations(params), curve_violations(specs, params), missing_corpora(specs, corpus), raw_violations(specs)]
+    parts = [enum_violations(specs, params), range_violations(specs), min_max_violations(params), spacing_violations(params), curve_violations(specs, params), missing_corpora(specs, corpus), raw_violations(specs)]
     return reduce(DataFrame.unionByName, parts).distinct()
 
 

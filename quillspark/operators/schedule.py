@@ -29,13 +29,15 @@ def allocation(specs: DataFrame, images: int) -> DataFrame:
 def task_list(allocated: DataFrame, images: int) -> DataFrame:
     """``batch_id, idx, spec_name``: in each round one task of every specification that has some left, in the order of names.
 
-    The index is a closed form of the round and the batch's allocations, so tasks are made where their specification lies and
-    are never sorted: tasks of earlier rounds, plus specifications before this one that reach the round.
+    The index is the number of tasks in earlier rounds, counted per round, and the place within the round; so a task costs the
+    same however many specifications its batch has, and no batch is sorted as a whole.
     """
-    of_batch = allocated.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("spec_name", "n_alloc"))).alias("all"))
-    rounds = allocated.where("n_alloc > 0").join(of_batch, "batch_id").withColumn("round", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_alloc"))))
-    before = F.aggregate("all", F.lit(0).cast("bigint"), lambda a, s: a + F.least(s["n_alloc"], F.col("round") - 1) + ((s["spec_name"] < F.col("spec_name")) & (s["n_alloc"] >= F.col("round"))).cast("bigint"))
-    return rounds.select("batch_id", before.alias("idx"), "spec_name").where(F.col("idx") < images)
+    rounds = allocated.where("n_alloc > 0").select("batch_id", "spec_name", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_alloc"))).alias("round"))
+    counts = rounds.groupBy("batch_id", "round").agg(F.count("*").alias("k"))
+    before = running_total(counts, "round", {"upto": F.col("k")}, by=["batch_id"]).select("batch_id", "round", (F.col("upto") - F.col("k")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("batch_id", "round").orderBy("spec_name")) - 1
+    placed = rounds.select("batch_id", "round", "spec_name", place.alias("place")).join(before, ["batch_id", "round"])
+    return placed.select("batch_id", (F.col("before") + F.col("place")).cast("bigint").alias("idx"), "spec_name").where(F.col("idx") < images)
 
 
 def resume_from(tasks: DataFrame, start: int) -> DataFrame:
@@ -52,6 +54,12 @@ def index_in_name(name: Column) -> Column:
     return F.regexp_extract(name, r"^image_([^_.]*)", 1).try_cast("bigint")
 
 
+def unique_name(run: Column, idx: Column) -> Column:
+    """A name for each image of a run in the form of a UUID; the same for every retry, and apart from that of any other run."""
+    h = F.md5(F.concat(run, F.lit("|"), idx.cast("string")))
+    return F.concat_ws("-", *(F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+
+
 def chunk_of(idx: Column, size: int) -> Column:
     return F.floor(idx / size).cast("bigint")
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from quillspark.functions import geometry, layout
 from quillspark.functions.distributions import sql_sample
 from quillspark.functions.draws import randint, sql_randint, sql_uniform, uniform
-from quillspark.functions.text import lines_of
+from quillspark.functions.text import BLANKS, lines_of
+from quillspark.operators.render import lined_boxes
 from quillspark.plans import plan
 from quillspark.plans.relational import P, S, params_, specs_
 from quillspark.sources.tables import table
@@ -120,34 +121,58 @@ def sine_layout(spark: SparkSession, d: str) -> DataFrame:
     return boxes_of(s, layout.sine(F.col("text"), F.col("font_size"), F.col("overlap_bp"), F.col("text_direction"), F.col("sine_amplitude"), F.col("sine_frequency"), F.col("sine_phase")), exact=True)
 
 
-LINES = """l0 AS (SELECT *, unnest(range(CASE WHEN num_lines <= 1 THEN 1 ELSE num_lines END)) AS line_index FROM styled),
-    l1 AS (SELECT * EXCLUDE (text), CASE WHEN num_lines <= 1 THEN text WHEN length(text) <= num_lines THEN substr(text, line_index + 1, 1) ELSE substr(text, 1 + line_index * (length(text) // num_lines) + least(line_index, length(text) % num_lines), length(text) // num_lines + CASE WHEN line_index < length(text) % num_lines THEN 1 ELSE 0 END) END AS line FROM l0),
+# Lines by the specification's mode (needs WITH RECURSIVE), and their characters.
+LINES = """lw AS (SELECT idx, num_lines AS n, text, length(text) // num_lines AS target, list_filter(regexp_split_to_array(text, '{1}'), lambda x: x <> '') AS ws FROM styled WHERE line_break_mode = 'word' AND num_lines > 1 AND length(text) > num_lines),
+    lf AS (SELECT idx, 0 AS k, CAST([] AS VARCHAR[]) AS done, '' AS line, ws, n, target FROM lw WHERE len(ws) > 0
+      UNION ALL SELECT idx, k + 1,
+        CASE WHEN line <> '' AND length(line) + 1 + length(ws[k + 1]) > target AND len(done) < n - 1 THEN list_append(done, line) ELSE done END,
+        CASE WHEN line = '' OR (length(line) + 1 + length(ws[k + 1]) > target AND len(done) < n - 1) THEN ws[k + 1] ELSE line || ' ' || ws[k + 1] END, ws, n, target FROM lf WHERE k < len(ws)),
+    lg AS (SELECT idx, list_concat(list_append(done, line), list_transform(range(greatest(n - len(done) - 1, 0)), lambda i: '')) AS worded FROM lf WHERE k = len(ws) UNION ALL SELECT idx, [text] FROM lw WHERE len(ws) = 0),
+    la AS (SELECT styled.*, CASE WHEN num_lines <= 1 THEN [text] WHEN length(text) <= num_lines THEN list_transform(range(num_lines), lambda i: substr(text, i + 1, 1)) WHEN line_break_mode = 'word' THEN worded
+      ELSE list_transform(range(num_lines), lambda i: substr(text, 1 + i * (length(text) // num_lines) + least(i, length(text) % num_lines), length(text) // num_lines + CASE WHEN i < length(text) % num_lines THEN 1 ELSE 0 END)) END AS all_lines FROM styled LEFT JOIN lg USING (idx)),
+    l1 AS (SELECT * EXCLUDE (text, all_lines), unnest(all_lines) AS line, unnest(range(len(all_lines))) AS line_index FROM la),
     k0 AS (SELECT *, unnest(range(greatest(length(line), 1))) AS char_pos FROM l1), k1 AS (SELECT *, substr(line, char_pos + 1, 1) AS char FROM k0),
     k2 AS (SELECT *, CASE WHEN line = '' THEN 0 ELSE {0} END AS w FROM k1),
-    k3 AS (SELECT *, CAST(sum(w) OVER (PARTITION BY idx, line_index ORDER BY char_pos ROWS UNBOUNDED PRECEDING) - w AS BIGINT) AS b, CAST(sum(w) OVER (PARTITION BY idx, line_index) AS BIGINT) AS total FROM k2),
-    k4 AS (SELECT *, CASE WHEN line = '' THEN 0 ELSE CAST(floor(total * (10000 - overlap_bp) / 10000.0::DOUBLE + 20) AS BIGINT) END AS wide, CAST(floor(h * spacing_percent / 100) AS BIGINT) AS step, CAST(floor(floor(font_size * 60 / 100) * spacing_percent * 2 / 100) AS BIGINT) AS side FROM k3)""".replace("{0}", ADVANCE)
+    k3 AS (SELECT *, CAST(sum(w) OVER (PARTITION BY idx, line_index ORDER BY char_pos ROWS UNBOUNDED PRECEDING) - w AS BIGINT) AS b, CAST(sum(w) OVER (PARTITION BY idx, line_index) AS BIGINT) AS total, max(w) OVER (PARTITION BY idx, line_index) AS widest, length(line) AS n FROM k2),
+    k4 AS (SELECT *, total - b - w AS e, CASE WHEN line = '' THEN 0 WHEN {2} THEN CAST(floor(total * (10000 - overlap_bp) / 10000.0::DOUBLE + 20) AS BIGINT) ELSE CAST(floor((n * h) * (10000 - overlap_bp) / 10000.0::DOUBLE + 20) AS BIGINT) END AS used,
+      CAST(floor(h * spacing_percent / 100) AS BIGINT) AS step, CAST(floor(floor(font_size * 60 / 100) * spacing_percent * 2 / 100) AS BIGINT) AS side FROM k3)""".replace("{0}", ADVANCE).replace("{1}", BLANKS).replace("{2}", FLAT)
+BLOCK = f"""bk AS (SELECT idx, CAST(CASE WHEN {FLAT} THEN max(CASE WHEN line = '' THEN 0 ELSE floor({KEPT.format("total")}) END) ELSE any_value(side) * count(DISTINCT line_index) END AS BIGINT) AS width,
+    CAST(CASE WHEN {FLAT} THEN any_value(step) * count(DISTINCT line_index) ELSE max(length(line) * floor({KEPT.format("h")})) END AS BIGINT) AS height FROM k4 GROUP BY idx, text_direction)"""
 
 
 def _lines(s: DataFrame) -> DataFrame:
-    return s.withColumn("lines", lines_of(F.col("text"), F.col("num_lines"), F.lit("character")))
+    return s.withColumn("lines", lines_of(F.col("text"), F.col("num_lines"), F.col("line_break_mode")))
 
 
-@query(f"""WITH {DRAWN}, {LINES}, k5 AS (SELECT *, max(wide) OVER (PARTITION BY idx) AS room FROM k4 WHERE {FLAT}),
-    k6 AS (SELECT *, CASE text_alignment WHEN 'center' THEN (room - wide) // 2 WHEN 'right' THEN room - wide ELSE 0 END AS dx FROM k5 WHERE line <> '')
-    SELECT idx, line_index, char_pos, char, {_int("10 + " + KEPT.format("b"))} + dx AS x0, 10 + line_index * step AS y0, {_int("10 + " + KEPT.format("b") + " + w")} + dx AS x1, h + 10 + line_index * step AS y1 FROM k6""")
+# Each line is laid out by its direction; lines are stacked, or stand beside each other where text is vertical.
+PLACED = f"""k5 AS (SELECT *, max(used) OVER (PARTITION BY idx) AS room FROM k4 WHERE curve = 'none'),
+    k6 AS (SELECT *, CASE WHEN text_alignment = 'center' THEN (room - used) // 2 WHEN text_alignment = CASE WHEN {FLAT} THEN 'right' ELSE 'bottom' END THEN room - used ELSE 0 END AS shift FROM k5 WHERE line <> ''),
+    k7 AS (SELECT *, CASE WHEN {FLAT} THEN 10 + {KEPT.format("(CASE WHEN text_direction = 'right_to_left' THEN e ELSE b END)")} ELSE (widest + 20 - w) / 2.0::DOUBLE END AS x,
+      CASE text_direction WHEN 'top_to_bottom' THEN 10 + {KEPT.format("(char_pos * h)")} WHEN 'bottom_to_top' THEN used - 10 - {KEPT.format("((char_pos + 1) * h)")} ELSE 10 END AS y, CASE WHEN {FLAT} THEN shift ELSE line_index * side END AS dx, CASE WHEN {FLAT} THEN line_index * step ELSE shift END AS dy FROM k6),
+    placed AS (SELECT idx, text_direction, line_index, char_pos, char, {_int("x")} + dx AS x0, {_int("y")} + dy AS y0, {_int("x + w")} + dx AS x1, {_int("y + h")} + dy AS y1 FROM k7)"""
+
+
+@query(f"WITH RECURSIVE {DRAWN}, {LINES}, {PLACED} SELECT * EXCLUDE (text_direction) FROM placed")
 def multiline_layout(spark: SparkSession, d: str) -> DataFrame:
-    s = _lines(styled_(spark, d).where(F.col("text_direction").isin(*layout.HORIZONTAL)))
-    return boxes_of(s, layout.multiline(F.col("lines"), F.col("font_size"), F.col("overlap_bp"), F.col("spacing_percent"), F.col("text_alignment")))
+    """Boxes of all straight texts, line by line."""
+    s = plan.with_values(_lines(styled_(spark, d))).where("curve = 'none'")
+    return boxes_of(s, lined_boxes())
+
+
+@query()
+def multiline_curved(spark: SparkSession, d: str) -> DataFrame:
+    """Boxes of all texts along an arc or wave, line by line."""
+    s = plan.with_values(_lines(styled_(spark, d))).where("curve <> 'none'")
+    return boxes_of(s, lined_boxes())
 
 
-@query(f"""WITH {DRAWN}, {LINES} SELECT idx, CAST(CASE WHEN {FLAT} THEN max(CASE WHEN line = '' THEN 0 ELSE floor({KEPT.format("total")}) END) ELSE any_value(side) * count(DISTINCT line_index) END AS BIGINT) AS width,
-    CAST(CASE WHEN {FLAT} THEN any_value(step) * count(DISTINCT line_index) ELSE max(length(line) * floor({KEPT.format("h")})) END AS BIGINT) AS height FROM k4 GROUP BY idx, text_direction""")
+@query(f"WITH RECURSIVE {DRAWN}, {LINES}, {BLOCK} SELECT * FROM bk")
 def multiline_dims(spark: SparkSession, d: str) -> DataFrame:
     s = _lines(styled_(spark, d))
     return s.withColumn("b", layout.block_size(F.col("lines"), F.col("font_size"), F.col("overlap_bp"), F.col("spacing_percent"), F.col("text_direction"))).select("idx", "b.width", "b.height")
 
 
-@query(f"""WITH {DRAWN}, {LINES}, q AS (SELECT idx, line_index, any_value(text_direction) AS text_direction, any_value(text_alignment) AS al, any_value(step) AS step, any_value(side) AS side, CASE WHEN any_value({FLAT}) THEN CASE WHEN any_value(line) = '' THEN 0 ELSE any_value(total) END ELSE length(any_value(line)) * any_value(h) END AS long FROM k4 GROUP BY 1, 2),
+@query(f"""WITH RECURSIVE {DRAWN}, {LINES}, q AS (SELECT idx, line_index, any_value(text_direction) AS text_direction, any_value(text_alignment) AS al, any_value(step) AS step, any_value(side) AS side, CASE WHEN any_value({FLAT}) THEN CASE WHEN any_value(line) = '' THEN 0 ELSE any_value(total) END ELSE length(any_value(line)) * any_value(h) END AS long FROM k4 GROUP BY 1, 2),
     r AS (SELECT *, max(long) OVER (PARTITION BY idx) AS room FROM q),
     z AS (SELECT *, CASE WHEN al = 'center' THEN (room - long) // 2 WHEN al = CASE WHEN {FLAT} THEN 'right' ELSE 'bottom' END THEN room - long ELSE 0 END AS off FROM r)
     SELECT idx, line_index, CASE WHEN {FLAT} THEN off ELSE line_index * side END AS x, CASE WHEN {FLAT} THEN line_index * step ELSE off END AS y FROM z""")
@@ -266,25 +291,29 @@ def char_order_valid(spark: SparkSession, d: str) -> DataFrame:
     return geometry.order_valid(boxes_(spark, d), ["file_id"], "direction", "char_pos")
 
 
-@query(f"""WITH {DRAWN}, {LINES}, k5 AS (SELECT idx, line_index, {_int("10")} + line_index * any_value(step) AS y0 FROM k4 WHERE {FLAT} AND line <> '' GROUP BY idx, line_index),
-    s AS (SELECT idx, y0 - lag(y0) OVER (PARTITION BY idx ORDER BY line_index) AS step FROM k5) SELECT idx, coalesce(bool_and(step >= 0), true) AS valid FROM s GROUP BY 1""")
+@query(f"""WITH RECURSIVE {DRAWN}, {LINES}, {PLACED}, q AS (SELECT idx, line_index, arg_min(CASE WHEN {FLAT} THEN y0 ELSE x0 END, char_pos) AS place FROM placed WHERE char_pos = 0 GROUP BY 1, 2),
+    z AS (SELECT idx, place - lag(place) OVER (PARTITION BY idx ORDER BY line_index) AS step FROM q) SELECT idx, coalesce(bool_and(step >= 0), true) AS valid FROM z GROUP BY 1""")
 def line_order_valid(spark: SparkSession, d: str) -> DataFrame:
-    first = multiline_layout(spark, d).groupBy("idx", "line_index").agg(F.min_by("y0", "char_pos").alias("y0"))
-    boxes = first.withColumns({"direction": F.lit("top_to_bottom"), "x0": F.lit(0), "x1": F.lit(0), "y1": F.col("y0")})
+    """Whether the first boxes of the lines of a straight text go down, or to the right where text is vertical."""
+    s = plan.with_values(_lines(styled_(spark, d))).where("curve = 'none'")
+    first = boxes_of(s, lined_boxes(), "text_direction").where("char_pos = 0")
+    at = F.when(F.col("text_direction").isin(*layout.HORIZONTAL), F.col("y0")).otherwise(F.col("x0"))
+    boxes = first.select("idx", "line_index", at.alias("y0"), at.alias("y1"), F.lit(0).alias("x0"), F.lit(0).alias("x1"), F.lit("top_to_bottom").alias("direction"))
     return geometry.order_valid(boxes, ["idx"], "direction", "line_index")
 
 
 # Plans ---------------------------------------------------------------------------------------------------------------
 
-EXTENT = f"{chars_sql('styled')}, ex AS (SELECT idx, any_value({_int(KEPT.format('total') + ' + 20')}) AS tw, any_value(h) + 20 AS th FROM ch GROUP BY idx), cv AS (SELECT *, tw + 2 * {sql_randint('idx', 'pad_x', '10', '50')} AS canvas_w, th + 2 * {sql_randint('idx', 'pad_y', '10', '50')} AS canvas_h FROM ex)"
+CANVAS = f"{LINES}, {BLOCK}, cv AS (SELECT idx, width, height, width + 20 + 2 * {sql_randint('idx', 'pad_x', '10', '50')} AS canvas_w, height + 20 + 2 * {sql_randint('idx', 'pad_y', '10', '50')} AS canvas_h FROM bk)"
 
 
-@query(f"WITH {DRAWN}, {EXTENT} SELECT idx, canvas_w, canvas_h, {sql_randint('idx', 'place_x', '0', 'canvas_w - tw')} AS placement_x, {sql_randint('idx', 'place_y', '0', 'canvas_h - th')} AS placement_y FROM cv")
+def planned_(spark: SparkSession, d: str) -> DataFrame:
+    return plan.plans(plan.styled(table(spark, d, "tasks"), table(spark, d, "specs"), table(spark, d, "spec_params")).where("text <> ''"))
+
+
+@query(f"WITH RECURSIVE {DRAWN}, {CANVAS} SELECT idx, canvas_w, canvas_h, {sql_randint('idx', 'place_x', '0', 'canvas_w - width - 20')} AS placement_x, {sql_randint('idx', 'place_y', '0', 'canvas_h - height - 20')} AS placement_y FROM cv")
 def canvas_placement(spark: SparkSession, d: str) -> DataFrame:
-    key = F.col("idx")
-    s = styled_(spark, d).select("idx", layout.extent(F.col("text"), F.col("font_size"), F.col("overlap_bp")).alias("tw"), (layout.height(F.col("font_size")) + 2 * layout.MARGIN).alias("th"))
-    s = s.withColumns({"canvas_w": F.col("tw") + 2 * randint(key, "pad_x", 10, 50), "canvas_h": F.col("th") + 2 * randint(key, "pad_y", 10, 50)})
-    return s.select("idx", "canvas_w", "canvas_h", randint(key, "place_x", F.lit(0), F.col("canvas_w") - F.col("tw")).alias("placement_x"), randint(key, "place_y", F.lit(0), F.col("canvas_h") - F.col("th")).alias("placement_y"))
+    return planned_(spark, d).select("idx", "canvas_w", "canvas_h", "placement_x", "placement_y")
 
 
 @query(f"""WITH {DRAWN} SELECT idx, CAST(drop_shadow_offset_x AS BIGINT) AS x, CAST(drop_shadow_offset_y AS BIGINT) AS y, round(drop_shadow_radius, 6) AS radius, list_aggregate({_colour_sql("'drop_shadow' || ", "drop_shadow_color_min", "drop_shadow_color_max")}, 'string_agg', ',') AS color
@@ -294,21 +323,18 @@ def shadow_options(spark: SparkSession, d: str) -> DataFrame:
     return s.select("idx", "s.x", "s.y", F.round("s.radius", 6).alias("radius"), F.array_join(F.transform("s.color", lambda x: x.cast("string")), ",").alias("color"))
 
 
-@query(f"""WITH {DRAWN}, {EXTENT} SELECT cv.idx, CAST(cutout_width AS BIGINT) AS cw, CAST(cutout_height AS BIGINT) AS chh, {sql_randint("cv.idx", "cutout_x", "0", "canvas_w - CAST(cutout_width AS BIGINT)")} AS x, {sql_randint("cv.idx", "cutout_y", "0", "canvas_h - CAST(cutout_height AS BIGINT)")} AS y
+@query(f"""WITH RECURSIVE {DRAWN}, {CANVAS} SELECT cv.idx, CAST(cutout_width AS BIGINT) AS cw, CAST(cutout_height AS BIGINT) AS chh, {sql_randint("cv.idx", "cutout_x", "0", "canvas_w - CAST(cutout_width AS BIGINT)")} AS x, {sql_randint("cv.idx", "cutout_y", "0", "canvas_h - CAST(cutout_height AS BIGINT)")} AS y
     FROM cv JOIN styled USING (idx) WHERE cutout_width > 0 AND cutout_height > 0 AND cutout_width < canvas_w AND cutout_height < canvas_h""")
 def cutout_rect(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("idx")
-    s = styled_(spark, d).select("idx", plan.value("cutout_width").cast("bigint").alias("cw"), plan.value("cutout_height").cast("bigint").alias("chh"), (layout.extent(F.col("text"), F.col("font_size"), F.col("overlap_bp")) + 2 * randint(key, "pad_x", 10, 50)).alias("w"), (layout.height(F.col("font_size")) + 20 + 2 * randint(key, "pad_y", 10, 50)).alias("h"))
-    s = s.where("cw > 0 AND chh > 0 AND cw < w AND chh < h")
-    return s.select("idx", "cw", "chh", randint(key, "cutout_x", F.lit(0), F.col("w") - F.col("cw")).alias("x"), randint(key, "cutout_y", F.lit(0), F.col("h") - F.col("chh")).alias("y"))
+    s = planned_(spark, d).select("idx", F.col("cutout_width").cast("bigint").alias("cw"), F.col("cutout_height").cast("bigint").alias("chh"), "canvas_w", "canvas_h")
+    s = s.where("cw > 0 AND chh > 0 AND cw < canvas_w AND chh < canvas_h")
+    return s.select("idx", "cw", "chh", randint(key, "cutout_x", F.lit(0), F.col("canvas_w") - F.col("cw")).alias("x"), randint(key, "cutout_y", F.lit(0), F.col("canvas_h") - F.col("chh")).alias("y"))
 
 
-@query(f"WITH {DRAWN}, {EXTENT} SELECT cv.idx, CAST(floor(noise_amount * (canvas_w * canvas_h)) AS BIGINT) AS n_pixels FROM cv JOIN styled USING (idx) WHERE noise_amount > 0")
+@query(f"WITH RECURSIVE {DRAWN}, {CANVAS} SELECT cv.idx, CAST(floor(noise_amount * (canvas_w * canvas_h)) AS BIGINT) AS n_pixels FROM cv JOIN styled USING (idx) WHERE noise_amount > 0")
 def noise_budget(spark: SparkSession, d: str) -> DataFrame:
-    key = F.col("idx")
-    w = layout.extent(F.col("text"), F.col("font_size"), F.col("overlap_bp")) + 2 * randint(key, "pad_x", 10, 50)
-    h = layout.height(F.col("font_size")) + 20 + 2 * randint(key, "pad_y", 10, 50)
-    return styled_(spark, d).where(plan.value("noise_amount") > 0).select("idx", F.floor(plan.value("noise_amount") * (w * h)).cast("bigint").alias("n_pixels"))
+    return planned_(spark, d).where("noise_amount > 0").select("idx", F.floor(F.col("noise_amount") * (F.col("canvas_w") * F.col("canvas_h"))).cast("bigint").alias("n_pixels"))
 
 
 PLAN_COLUMNS = ("rotation_angle", "perspective_warp_magnitude", "blur_radius", "noise_amount", "brightness_factor", "contrast_factor", "ink_bleed_radius", "arc_radius", "sine_amplitude", "sine_frequency", "sine_phase", "elastic_distortion_alpha", "elastic_distortion_sigma", "optical_distortion_limit", "grid_distortion_steps", "grid_distortion_limit", "erosion_dilation_kernel")

@@ -258,7 +258,8 @@ def healthy_resources(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {HEALTHY}, g AS (SELECT resource_id, greatest(score, 0) AS w FROM hb), w AS (SELECT resource_id, CASE WHEN sum(w) OVER () = 0 THEN 1 ELSE w END AS w FROM g),
-    c AS (SELECT resource_id, sum(w) OVER (ORDER BY resource_id) AS hi, sum(w) OVER (ORDER BY resource_id) - w AS lo, sum(w) OVER () AS total FROM w),
+    bl AS (SELECT *, floor({sql_uniform("resource_id", "weight_block")} * {resources.WEIGHT_BLOCKS}) AS block FROM w),
+    c AS (SELECT resource_id, sum(w) OVER (ORDER BY block, resource_id) AS hi, sum(w) OVER (ORDER BY block, resource_id) - w AS lo, sum(w) OVER () AS total FROM bl),
     t AS (SELECT DISTINCT idx FROM tasks)
     SELECT t.idx, c.resource_id AS background_path FROM t JOIN c ON floor({sql_uniform("t.idx", "background")} * c.total) >= c.lo AND floor({sql_uniform("t.idx", "background")} * c.total) < c.hi""")
 def weighted_pick(spark: SparkSession, d: str) -> DataFrame:
@@ -277,15 +278,16 @@ for _k, _r in enumerate(checks.RANGES):
 for _k, _c in enumerate(checks.COLOURS):
     RANGES += f" UNION ALL SELECT spec_name, {30 + _k}, '{_c}_min above {_c}_max' FROM {S} WHERE len(list_filter(list_zip({_c}_min, {_c}_max), lambda z: z[1] > z[2])) > 0"
 MIN_MAX = f"SELECT spec_name, 40 AS check_no, param || ': min above max' AS message FROM {P} WHERE min_value > max_value"
+SPACING = f"SELECT spec_name, 41 AS check_no, 'line_spacing not positive' AS message FROM {P} WHERE param = 'line_spacing' AND min_value <= 0"
 CURVES = f"SELECT s.spec_name, 50 AS check_no, p.param || ' without a curve' AS message FROM {S} s JOIN {P} p USING (spec_name) WHERE s.curve_type = 'none' AND p.param IN ('arc_radius', 'sine_amplitude') AND (p.min_value <> 0 OR p.max_value <> 0)"
-CORPORA = f"SELECT spec_name, 60 AS check_no, 'no corpus file: ' || coalesce(corpus_file, 'null') AS message FROM {S} WHERE corpus_file IS NULL OR corpus_file NOT IN (SELECT corpus_file FROM corpus)"
+CORPORA = f"SELECT spec_name, 60 AS check_no, 'no corpus file: ' || coalesce(corpus_file, 'null') AS message FROM {S} s WHERE corpus_file IS NULL OR corpus_file NOT IN (SELECT corpus_file FROM corpus) AND NOT (regexp_matches(corpus_file, '[*?\\[]') AND EXISTS (SELECT 1 FROM corpus c WHERE c.corpus_file GLOB s.corpus_file))"
 RAW = " UNION ALL ".join(f"SELECT spec_name, {70 + k} AS check_no, '{c} is missing' AS message FROM {S} WHERE {c} IS NULL OR trim({c}) = ''" for k, c in enumerate(("spec_name", "text_direction", "corpus_file")))
 RAW += f" UNION ALL SELECT spec_name, 73, 'proportion out of range' FROM {S} WHERE proportion IS NULL OR proportion < 0 OR proportion > 1 UNION ALL SELECT spec_name, 74, 'font size not positive' FROM {S} WHERE font_size_min <= 0"
 def _big(sql: str) -> str:
     return f"SELECT spec_name, CAST(check_no AS BIGINT) AS check_no, message FROM ({sql})"
 
 
-ALL = " UNION ALL ".join((ENUMS, RANGES, MIN_MAX, CURVES, CORPORA, RAW))
+ALL = " UNION ALL ".join((ENUMS, RANGES, MIN_MAX, SPACING, CURVES, CORPORA, RAW))
 
 
 @query(f"SELECT batch_id, round(sum(proportion), 9) AS total FROM {S} GROUP BY 1 HAVING round(abs(round(sum(proportion), 9) - 1.0), 9) > {checks.TOLERANCE}")
@@ -308,6 +310,11 @@ def validate_min_max(spark: SparkSession, d: str) -> DataFrame:
     return checks.min_max_violations(params_(spark, d))
 
 
+@query(_big(SPACING))
+def validate_line_spacing(spark: SparkSession, d: str) -> DataFrame:
+    return checks.spacing_violations(params_(spark, d))
+
+
 @query(_big(CURVES))
 def validate_curve_consistency(spark: SparkSession, d: str) -> DataFrame:
     return checks.curve_violations(specs_(spark, d), params_(spark, d))
@@ -358,6 +365,11 @@ def bench_summary(spark: SparkSession, d: str) -> DataFrame:
     return a.join(F.broadcast(base)).select("kind", "n", *(F.round(c, 6).alias(c) for c in ("mean", "median")), F.round("sd", 4).alias("sd"), *(F.round(c, 6).alias(c) for c in ("least", "most")), F.round(F.col("base") / F.col("mean"), 6).alias("speed_up"), (F.col("kind") == F.col("fastest")).alias("best"))
 
 
+@query(f"SELECT idx, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS name FROM (SELECT DISTINCT idx, md5('run|' || idx) AS h FROM tasks)")
+def output_names(spark: SparkSession, d: str) -> DataFrame:
+    return tasks_(spark, d).select("idx", schedule.unique_name(F.lit("run"), F.col("idx")).alias("name"))
+
+
 RATIOS = ((1, 1), (4, 3), (16, 9), (3, 4), (9, 16))
 
 

@@ -54,12 +54,18 @@ def check_raw(raw: Mapping[str, Any]) -> None:
         raise ValidationError("specification names must differ")
     for s in specs:
         problems = [f"missing field: {k}" for k in MANDATORY if s.get(k) is None]
-        known = set(MANDATORY) | set(FIELDS) | {f"{p}_{e}" for p in DEFAULTS for e in ("min", "max", "distribution")}
+        known = {"canvas", "font", "direction"} | set(MANDATORY) | set(FIELDS) | {f"{p}_{e}" for p in DEFAULTS for e in ("min", "max", "distribution")}
         problems += [f"unknown field: {k}" for k in s if k not in known]
         problems += [f"{k}: {s[k]}" for k, v in VALUES.items() if k in s and s[k] not in v]
         problems += [f"{k}: {v}" for k, v in s.items() if k.endswith("_distribution") and v not in NAMES]
         problems += [f"{k}_min above {k}_max" for k in DEFAULTS if f"{k}_min" in s and f"{k}_max" in s and s[f"{k}_min"] > s[f"{k}_max"]]
         problems += [f"min_{k} above max_{k}" for k in ("text_length", "lines") if s.get(f"min_{k}", FIELDS[f"min_{k}"]) > s.get(f"max_{k}", FIELDS[f"max_{k}"])]
+        problems += [f"{k}_min above {k}_max" for k in ("font_size", "per_glyph_palette_size") if s.get(f"{k}_min", FIELDS[f"{k}_min"]) > s.get(f"{k}_max", FIELDS[f"{k}_max"])]
+        problems += section_problems(s)
+        if s.get("font_size_min", 1) <= 0:
+            problems.append("font size not positive")
+        if s.get("line_spacing_min", 1.0) <= 0:
+            problems.append("line_spacing_min must be above 0")
         if s.get("min_lines", 1) < 1:
             problems.append("min_lines below 1")
         if s.get("curve_type", "none") == "none" and any(s.get(f"{p}_{e}") for p in ("arc_radius", "sine_amplitude") for e in ("min", "max")):
@@ -70,6 +76,47 @@ def check_raw(raw: Mapping[str, Any]) -> None:
         raise ValidationError("proportions must add up to 1")
 
 
+def _number(x: object) -> bool:
+    return isinstance(x, int | float) and not isinstance(x, bool)
+
+
+def section_problems(s: Mapping[str, Any]) -> list[str]:
+    """What is wrong with the optional sections of a specification: canvas (min_padding, max_padding), font (size_range) and
+    direction weights (direction: a map from direction to weight)."""
+    problems = []
+    canvas, font, weights = s.get("canvas"), s.get("font"), s.get("direction")
+    if canvas is not None:
+        ends = [canvas.get("min_padding"), canvas.get("max_padding")] if isinstance(canvas, Mapping) else ["?"]
+        given = [x for x in ends if x is not None]
+        if not all(map(_number, given)):
+            problems.append("canvas padding must be a number")
+        elif any(x < 0 for x in given):
+            problems.append("canvas padding must not be negative")
+        elif len(given) == 2 and given[0] > given[1]:
+            problems.append("min_padding above max_padding")
+    size = font.get("size_range") if isinstance(font, Mapping) else font
+    if size is not None:
+        if not isinstance(size, list) or len(size) != 2 or not all(map(_number, size)):
+            problems.append("font size_range must be a list of two numbers")
+        elif min(size) <= 0:
+            problems.append("font sizes must be positive")
+        elif size[0] > size[1]:
+            problems.append("font size_range is the wrong way round")
+    if weights is not None:
+        if not isinstance(weights, Mapping):
+            problems.append("direction must be a map")
+        else:
+            problems += [f"direction weight of {k} must be a number" for k, w in weights.items() if not _number(w)]
+            problems += [f"direction weight of {k} is negative" for k, w in weights.items() if _number(w) and w < 0]
+    return problems
+
+
+def check_fonts(found: int, folder: str) -> None:
+    """There must be a font."""
+    if not found:
+        raise ValidationError(f"no font file (.ttf) in {folder}")
+
+
 def check_folders(**folders: str) -> None:
     for name, path in folders.items():
         if not os.path.isdir(path):

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import warnings
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.operators.resources import is_image
 from quillspark.operators.schedule import index_in_name
+from quillspark.sources.storage import write_whole
 
 
 class CheckpointWarning(UserWarning):
@@ -50,6 +55,39 @@ def background_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     return out
 
 
+def drawable_backgrounds(spark: SparkSession, backgrounds: DataFrame, folder: str) -> DataFrame:
+    """``background_path, drawable_path``: PNG files as they are; JPEG files decoded by Spark and written once as PNG files to a
+    folder that all executors see. A file that can't be read is left out."""
+    from quillspark.functions import pixels
+
+    png = F.lower("background_path").endswith(".png")
+    own = backgrounds.where(png).select("background_path", F.col("background_path").alias("drawable_path"))
+    jpeg = [r["background_path"] for r in backgrounds.where(~png).select("background_path").distinct().toLocalIterator()]
+    if not jpeg:
+        return own
+
+    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for origin, h, w, channels, data in zip(pdf["origin"], pdf["height"], pdf["width"], pdf["nChannels"], pdf["data"], strict=True):
+                raw = np.frombuffer(data, np.uint8).reshape(h, w, channels)
+                rgb = np.repeat(raw, 3, axis=2) if channels == 1 else raw[:, :, 2::-1]
+                to = f"{folder}/{hashlib.sha256(origin.encode()).hexdigest()}.png"
+                write_whole(to, pixels.png(np.dstack([rgb, np.full((h, w), 255, np.uint8)])))
+                rows.append((origin, to))
+            yield pd.DataFrame(rows, columns=["background_path", "drawable_path"])
+
+    images = spark.read.format("image").option("dropInvalid", True).load(jpeg).select("image.*")
+    made = images.mapInPandas(convert, "background_path string, drawable_path string").select(F.regexp_replace(F.url_decode("background_path"), r"^file:/+", "/").alias("background_path"), "drawable_path")
+    return own.unionByName(made)
+
+
+def image_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``folder, path`` of all images below a folder."""
+    f = _paths(spark, folder).where(is_image(F.col("path")))
+    return f.select(F.regexp_replace("path", r"/[^/]+\z", "").alias("folder"), "path")
+
+
 def finished_indices(spark: SparkSession, folder: str) -> DataFrame:
     """``idx`` of the images image_<idx>.png that a folder holds."""
     if not os.path.isdir(folder):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import random
 import time
 from collections.abc import Callable, Iterator, Mapping
@@ -15,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from quillspark.operators.schedule import retry_schedule
+from quillspark.sources.storage import write_whole
 
 WRITTEN = "idx long, path string, error string"
 
@@ -36,27 +36,21 @@ def with_retries(work: Callable[[], None], attempts: int = 3) -> None:
     return None
 
 
-def write_file(path: str, data: bytes) -> None:
-    """Whole or not at all: written beside and renamed."""
-    beside = f"{path}.{os.getpid()}.{random.getrandbits(32):08x}.tmp"  # noqa: S311
-    with open(beside, "wb") as f:
-        f.write(data)
-    os.replace(beside, path)
+def write_images(images: DataFrame, labels: DataFrame, folder: str, rows_at_once: int = 0) -> DataFrame:
+    """Writes image_<idx>.png and image_<idx>.json from the executors; ``idx, path, error``. Writing again overwrites the same names.
 
-
-def write_images(images: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
-    """Writes image_<idx>.png and image_<idx>.json from the executors; ``idx, path, error``. Writing again overwrites the same names."""
+    folder: a path that all executors see, or a URI. rows_at_once: images that are written before their results go on (0: a batch).
+    """
     both = images.where("error IS NULL").select("idx", "image").join(labels, "idx")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(folder, exist_ok=True)
-        for pdf in batches:
+        for pdf in (b.iloc[at : at + (rows_at_once or len(b))] for b in batches for at in range(0, len(b), rows_at_once or len(b) or 1)):
             rows = []
             for idx, image, label in zip(pdf["idx"], pdf["image"], pdf["label"], strict=True):
                 path, error = f"{folder}/image_{idx:05d}", None
                 try:
-                    with_retries(lambda p=path, d=image: write_file(p + ".png", d))
-                    with_retries(lambda p=path, d=label: write_file(p + ".json", d.encode()))
+                    with_retries(lambda p=path, d=image: write_whole(p + ".png", d))
+                    with_retries(lambda p=path, d=label: write_whole(p + ".json", d.encode()))
                 except OSError as e:  # the row is reported; the others go on
                     error = str(e)
                 rows.append((idx, path + ".png", error))
@@ -67,7 +61,7 @@ def write_images(images: DataFrame, labels: DataFrame, folder: str) -> DataFrame
 
 def save_checkpoint(path: str, completed: int, total: int, hash_: str) -> None:
     state = {"completed_images": completed, "total_images": total, "config_hash": hash_, "timestamp": datetime.now(timezone.utc).isoformat()}
-    write_file(path, json.dumps(state).encode())
+    write_whole(path, json.dumps(state).encode())
 
 
 def write_review(sample: DataFrame, path: str) -> None:

@@ -1,6 +1,7 @@
 """Planning and health scores as streams: bounded steps, each committed before the next, restartable from its checkpoint.
 
-A draw depends on the row's index only, so a stream plans what a batch plans, in whatever steps the rows arrive.
+A draw depends on the row's index only, and scores are merged from blocks of outcomes, so a stream gives what a batch gives, in
+whatever steps the rows arrive.
 """
 
 from __future__ import annotations
@@ -13,12 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quillspark.functions.draws import uniform
-from quillspark.operators.resources import BEST, GAIN, LOSS
+from quillspark.operators.resources import GAIN, LOSS, scores_of_blocks
+from quillspark.plans import plan
 from quillspark.session import ensure_checkpoint_dir
 
-SCORES = "resource_id string, score long, n_outcomes long"
-
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
@@ -32,51 +31,55 @@ def _source(spark: SparkSession, path: str, files_per_step: int) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_step).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def plan_stream(source: DataFrame) -> DataFrame:
-    """``idx, spec_name, n_chars, seed`` of streamed tasks; rows without an index are left out."""
-    return source.where("idx IS NOT NULL").select("idx", "spec_name", F.length("text").cast("bigint").alias("n_chars"), F.floor(uniform(F.col("idx"), "seed") * 4294967296.0).cast("bigint").alias("seed"))
-
-
-def run_to_table(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Everything that is there now, in steps, into a parquet folder; a step that is repeated after a failure is written once."""
-    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
+def streamed_tasks(spark: SparkSession, path: str, specs: DataFrame, params: DataFrame, files_per_step: int = 4) -> DataFrame:
+    """The plans of all tasks of a folder, made step by step; the plans of a batch, whatever the steps.
 
-def streamed_tasks(spark: SparkSession, path: str, files_per_step: int = 4) -> DataFrame:
-    """The plans of all tasks of a folder, made as a stream. Repeated tasks, which may come in different steps, count once."""
+    Each step is written under its number, so one that is repeated after a failure replaces itself. Repeated tasks, which may
+    come in different steps, count once.
+    """
     source = _source(spark, path, files_per_step)
     to = shared_folder(spark, "stream-tasks")
-    run_to_table(plan_stream(source), f"{to}/out", f"{to}/checkpoint")
-    return spark.read.parquet(f"{to}/out").distinct()
+
+    def step(rows: DataFrame, number: int) -> None:
+        plan.plans(plan.styled(rows, specs, params)).write.mode("overwrite").parquet(f"{to}/out/step={number}")
+
+    source.writeStream.foreachBatch(step).option("checkpointLocation", f"{to}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.option("basePath", f"{to}/out").parquet(f"{to}/out/step=*").drop("step").distinct()
 
 
-def _score(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    total, top, n = state.get if state.exists else (0, 0, 0)
-    rows = pd.concat(list(parts)).sort_values(["seq", "recorded_at", "ok"])
-    if len(rows):
-        s = total + rows["ok"].map({True: GAIN, False: -LOSS}).cumsum()
-        total, top, n = int(s.iloc[-1]), max(top, int(s.max())), n + len(rows)
-        state.update((total, top, n))
-    yield pd.DataFrame({"resource_id": [key[0]], "score": [BEST + total - top], "n_outcomes": [n]})
+def _block_sums(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Sum and highest running sum of a block's outcomes so far; the state holds them, at most as many as a block has."""
+    kept = set(zip(*state.get, strict=True)) if state.exists else set()
+    for rows in parts:
+        kept.update(zip(rows["seq"].tolist(), rows["at"].tolist(), rows["ok"].tolist(), strict=True))
+    ordered = sorted(kept)
+    state.update(tuple(map(list, zip(*ordered, strict=True))))
+    total = top = 0
+    for k, (_, _, ok) in enumerate(ordered):
+        total += GAIN if ok else -LOSS
+        top = max(top, total) if k else total
+    yield pd.DataFrame({"resource_id": [key[0]], "block": [key[1]], "sum": [total], "top": [top], "n": [len(ordered)]})
 
 
-def health_stream(outcomes: DataFrame) -> DataFrame:
-    """Scores after each step of a stream of outcomes, from the sum of steps and its maximum so far (see ``resources``).
+def block_stream(outcomes: DataFrame, block: int = 4096) -> DataFrame:
+    """``resource_id, block, sum, top, n`` after each step of a stream of outcomes, for each block of seq that the step touched.
 
-    Within a step outcomes count in the order of seq; what comes in a later step counts after what came before.
+    Repeated outcomes count once, and late ones where their seq puts them, so the last sums don't depend on the steps. A hot
+    resource is as many keys as it has blocks, and a state is no larger than a block.
     """
-    known = outcomes.where("resource_id IS NOT NULL AND seq IS NOT NULL AND ok IS NOT NULL").select("resource_id", "seq", "ok", "recorded_at")
-    return known.groupBy("resource_id").applyInPandasWithState(_score, SCORES, "total long, top long, n long", "update", GroupStateTimeout.NoTimeout)
+    known = outcomes.where("resource_id IS NOT NULL AND seq IS NOT NULL AND ok IS NOT NULL").select("resource_id", F.floor(F.col("seq") / block).cast("long").alias("block"), "seq", F.unix_micros(F.coalesce(F.col("recorded_at").cast("timestamp"), F.timestamp_micros(F.lit(0)))).alias("at"), "ok")
+    return known.groupBy("resource_id", "block").applyInPandasWithState(_block_sums, "resource_id string, block long, sum long, top long, n long", "seq array<long>, at array<long>, ok array<boolean>", "update", GroupStateTimeout.NoTimeout)
 
 
-def streamed_scores(spark: SparkSession, path: str, files_per_step: int = 1_000_000) -> DataFrame:
-    """``resource_id, score, n_outcomes`` after all outcomes of a folder, made as a stream; repeated rows of a step count once."""
+def streamed_scores(spark: SparkSession, path: str, files_per_step: int = 4) -> DataFrame:
+    """``resource_id, score, n_outcomes`` after all outcomes of a folder, made as a stream."""
     source = _source(spark, path, files_per_step)
     to = shared_folder(spark, "stream-health")
 
     def keep(step: DataFrame, number: int) -> None:
         step.write.mode("overwrite").parquet(f"{to}/out/step={number}")
 
-    distinct = source.select("resource_id", "seq", "ok", "recorded_at").dropDuplicates()
-    health_stream(distinct).writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", f"{to}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(SCORES + ", step long").parquet(f"{to}/out").groupBy("resource_id").agg(F.max_by("score", "step").alias("score"), F.max_by("n_outcomes", "step").alias("n_outcomes"))
+    block_stream(source).writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", f"{to}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    steps = spark.read.schema("resource_id string, block long, sum long, top long, n long, step long").parquet(f"{to}/out")
+    last = steps.groupBy("resource_id", "block").agg(F.max_by(F.struct("sum", "top", "n"), "step").alias("s")).select("resource_id", "block", "s.*")
+    return scores_of_blocks(last)

@@ -2,12 +2,13 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quillspark.functions import distributions, geometry, layout, text
 from quillspark.functions.draws import randint
-from quillspark.operators import checks, resources, schedule
+from quillspark.operators import checks, render, resources, schedule
 from quillspark.operators.prefix import dense_index, running_total
 
 
@@ -275,3 +276,105 @@ def test_lines_by_direction_and_curve(spark):
             free = max(b[far] for b in first) - max(b[far] for b in last)
             dx, dy = (free, 44) if flat else (48, free)
             assert boxes[direction, curve, end, several] == first + [(c, x0 + dx, y0 + dy, x1 + dx, y1 + dy) for c, x0, y0, x1, y1 in last]
+
+
+GLOBS = ["*.ttf", "a[bc]?", "a[!bc]?", "*[[]1.ttf", "*a[1.ttf", "[*]x", "[]a]b", "[!]a]b", "a[z-a]b", "a[!z-a]b", "[a-c]*", "a.b", "a+b(c)|d^$", "*\\*", "[\\d]", "[^a]", "[&&]x", "", "*", "?", "[", "[]", "[!", "a*b*c", "é?", "*[0-9]-[0-9].ttf"]
+NAMES = ["x.ttf", "abx", "adx", "abc", "q[1.ttf", "qa[1.ttf", "*x", ".x", "]b", "ab", "bb", "azb", "a-b", "axb", "b1", "a.b", "aXb", "a+b(c)|d^$", "q\\r", "\\", "d", "5", "^", "&x", "", "x", "[", "[]", "[!", "aXbYc", "ac", "éa", "a\nb\nc", "x.ttf\n", "f1-2.ttf"]
+
+
+def test_globs_are_those_of_a_shell(spark):
+    import fnmatch
+
+    filters = spark.createDataFrame([(g,) for g in [*GLOBS, None, "*.ttf"]], "f string")
+    names = spark.createDataFrame([(n,) for n in [*NAMES, None]], "n string")
+    got = {tuple(r) for r in resources.glob_matches(filters, names, "f", "n").collect()}
+    assert got == {(g, n) for g in GLOBS for n in NAMES if fnmatch.fnmatchcase(n, g)}
+
+
+def test_open_filters_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(resources, "OPEN_FILTERS", 3)
+    filters = spark.createDataFrame([(f"*{c}",) for c in "abcdefgh"], "f string")
+    names = spark.createDataFrame([(f"x{c}",) for c in "abcdefghij"], "n string")
+    assert {tuple(r) for r in resources.glob_matches(filters, names, "f", "n").collect()} == {(f"*{c}", f"x{c}") for c in "abcdefgh"}
+
+
+def test_weighted_choice_by_group(spark):
+    scores = [("a", f"r{k:03d}", k - 2) for k in range(40)] + [("zero", "z0", 0), ("zero", "z1", -5), ("heavy", "h0", 10_000), ("heavy", "h1", 1), ("heavy", "h2", 0)]
+    spans = resources.weighted_spans(spark.createDataFrame(scores, "g string, resource_id string, score int"), "g")
+    seen = spans.collect()
+    for g, n, total in (("a", 40, sum(range(38))), ("zero", 2, 2), ("heavy", 3, 10_001)):
+        own = sorted({(r["lo"], r["hi"], r["resource_id"]) for r in seen if r["g"] == g})
+        assert own[0][0] == 0 and own[-1][1] == total and all(x[1] == y[0] for x, y in zip(own, own[1:], strict=False))
+        assert sum(r["g"] == g for r in seen) <= 2 * n
+    rows = spark.range(6000).select(F.col("id"), F.element_at(F.array(*map(F.lit, ("a", "zero", "heavy", "none"))), (F.col("id") % 4 + 1).cast("int")).alias("g"))
+    got = resources.pick_from_spans(rows, "id", spans, "g", "t", "r").collect()
+    assert sorted(r["id"] for r in got) == list(range(6000))
+    by = {g: [r["r"] for r in got if r["g"] == g] for g in ("a", "zero", "heavy", "none")}
+    assert set(by["none"]) == {None} and {"z0", "z1"} == set(by["zero"]) and by["heavy"].count("h0") >= 1490 and "h2" not in by["heavy"]
+    assert {"r000", "r001", "r002"}.isdisjoint(by["a"]) and by["a"].count("r039") > by["a"].count("r003")
+
+
+SECTIONS = [
+    ({"canvas": {"min_padding": -1}}, "negative"), ({"canvas": {"max_padding": "x"}}, "number"), ({"canvas": {"min_padding": 5, "max_padding": 2}}, "above"), ({"canvas": 3}, "number"),
+    ({"font": {"size_range": 12}}, "list of two"), ({"font": {"size_range": [1, 2, 3]}}, "list of two"), ({"font": {"size_range": ["a", 2]}}, "list of two"), ({"font": {"size_range": [0, 2]}}, "positive"), ({"font": {"size_range": [9, 2]}}, "wrong way"),
+    ({"direction": ["left"]}, "map"), ({"direction": {"left_to_right": -0.5}}, "negative"), ({"direction": {"left_to_right": "x"}}, "number"),
+    ({"line_spacing_min": 0}, "above 0"), ({"font_size_min": 40, "font_size_max": 20}, "above"), ({"per_glyph_palette_size_min": 9}, "above"), ({"font_size_min": 0}, "positive"),
+]
+
+
+@pytest.mark.parametrize(("extra", "message"), SECTIONS)
+def test_sections_of_a_configuration(extra, message):
+    from quillspark.sources import config
+
+    spec = {"name": "a", "proportion": 1.0, "text_direction": "left_to_right", "corpus_file": "a.txt"}
+    config.check_raw({"total_images": 1, "specifications": [spec | {"canvas": {"min_padding": 1, "max_padding": 2}, "font": {"size_range": [8, 12]}, "direction": {"left_to_right": 1}}]})
+    with pytest.raises(checks.ValidationError, match=message):
+        config.check_raw({"total_images": 1, "specifications": [spec | extra]})
+    with pytest.raises(checks.ValidationError):
+        config.check_fonts(0, "fonts")
+
+
+def test_corpus_patterns(spark):
+    specs = spark.createDataFrame([("a", "x/one.txt"), ("b", "x/*.txt"), ("c", "y/*.txt"), ("d", "none.txt"), ("e", None)], "spec_name string, corpus_file string")
+    corpus = spark.createDataFrame([("x/one.txt",), ("z/[1].txt",)], "corpus_file string")
+    assert {r["spec_name"] for r in checks.missing_corpora(specs, corpus).collect()} == {"c", "d", "e"}
+
+
+def test_lines_of_every_direction(spark):
+    """Right-to-left lines run from the right, vertical ones stand beside each other and are aligned at top, centre or end."""
+    rows = [(k, d, a) for k, (d, a) in enumerate([("left_to_right", "right"), ("right_to_left", "center"), ("top_to_bottom", "bottom"), ("bottom_to_top", "center"), ("top_to_bottom", "left")])]
+    df = spark.createDataFrame(rows, "idx long, text_direction string, text_alignment string").select("*", F.array(F.lit("abc"), F.lit(""), F.lit("defgh")).alias("lines"), F.lit(20).alias("font_size"), F.lit(0).alias("overlap_bp"), F.lit(100).alias("spacing_percent"), F.lit("none").alias("curve"), *(F.lit(0.0).alias(c) for c in ("arc_radius", "sine_amplitude", "sine_frequency", "sine_phase")), F.lit(True).alias("arc_concave"))
+    got = {r["idx"]: r["b"] for r in df.select("idx", render.lined_boxes().alias("b")).collect()}
+    for k, d, _ in rows:
+        assert [b["line_index"] for b in got[k]] == [0] * 3 + [2] * 5
+        for line in (0, 2):
+            own = [b for b in got[k] if b["line_index"] == line]
+            key = {"left_to_right": lambda b: b["x0"], "right_to_left": lambda b: -b["x1"], "top_to_bottom": lambda b: b["y0"], "bottom_to_top": lambda b: -b["y1"]}[d]
+            assert [key(b) for b in own] == sorted(key(b) for b in own)
+    end = lambda k, line, c: max(b[c] for b in got[k] if b["line_index"] == line)
+    assert end(0, 0, "x1") == end(0, 2, "x1") and end(2, 0, "y1") == end(2, 2, "y1")
+    assert min(b["y0"] for b in got[4] if b["line_index"] == 0) == min(b["y0"] for b in got[4] if b["line_index"] == 2) == 10
+    assert all(a["x1"] <= b["x0"] for k in (2, 3, 4) for a in got[k][:3] for b in got[k][3:])
+
+
+def test_a_stage_of_ones_own(spark):
+    from quillspark.plans.plan import STAGES
+
+    render.register_stage("white_corner", "canvas_w > 0", lambda im, b, p: (np.where(np.indices(im.shape[:2]).sum(0)[..., None] < 3, 255, im).astype(np.uint8), b))
+    try:
+        assert list(STAGES)[-1] == "white_corner" and "white_corner" not in render._OWN
+    finally:
+        STAGES.pop("white_corner"), render.KERNELS.pop("white_corner")
+
+
+def test_command_line_tools(spark, tmp_path):
+    from quillspark import cli
+
+    assert cli.main(["backgrounds", "--output-dir", str(tmp_path / "b"), "--count", "7", "--log-dir", str(tmp_path / "log")]) == 0
+    assert len(list((tmp_path / "b").glob("*.png"))) == 7 and (tmp_path / "log" / "quillspark.log").exists()
+    assert cli.main(["review", "--output-dir", str(tmp_path / "b"), "--review-file", str(tmp_path / "r"), "--per-folder", "3"]) == 0
+    assert len("".join(p.read_text() for p in (tmp_path / "r").glob("*.csv")).splitlines()) == 4
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "c.yaml").write_text("total_images: 1\nspecifications: [{name: a, proportion: 1.0, text_direction: left_to_right, corpus_file: a.txt}]")
+    folders = [x for n in ("font-dir", "background-dir", "corpus-dir") for x in (f"--{n}", str(tmp_path / "empty"))]
+    assert cli.main(["--batch-config", str(tmp_path / "c.yaml"), "--output-dir", str(tmp_path / "o"), *folders]) == 1

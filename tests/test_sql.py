@@ -54,12 +54,15 @@ def test_partitioning_doesnt_matter(spark, name):
     assert seen[0] == seen[1]
 
 
-def test_streams_equal_batches(spark):
-    from quillspark.operators import resources
-    from quillspark.sources.tables import table
+def test_scores_dont_depend_on_steps(spark, tmp_path):
+    from pyspark.sql import functions as F
 
-    stream = {tuple(r) for r in catalogue.QUERIES["health_stream"](spark, DATA).collect()}
-    batch = {(r["resource_id"], r["score"], r["n_outcomes"]) for r in resources.final_scores(table(spark, DATA, "outcomes")).collect()}
-    assert stream == batch
-    planned = {(r["idx"], r["seed"]) for r in catalogue.QUERIES["stream_tasks"](spark, DATA).collect()}
-    assert {(r["idx"], r["seed"]) for r in catalogue.QUERIES["plan_params"](spark, DATA).select("idx", "seed").collect()} <= planned
+    from quillspark.operators import resources
+    from quillspark.streaming import jobs
+
+    o = spark.createDataFrame([(f"r{k % 3 if k % 4 else 0}", 10 * ((k * 37) % 400), k % 5 != 0, None) for k in range(400)] + [("r0", 7, None, None), (None, 1, True, None)], "resource_id string, seq bigint, ok boolean, recorded_at timestamp")
+    o = o.unionAll(o.where("seq % 7 = 0"))  # repeats, in other steps
+    o.withColumn("recorded_at", F.timestamp_seconds(F.col("seq"))).repartition(9).write.parquet(str(tmp_path / "o"))
+    want = {tuple(r) for r in resources.final_scores(spark.read.parquet(str(tmp_path / "o")), 512).collect()}
+    for files in (1, 4, 100):
+        assert {tuple(r) for r in jobs.streamed_scores(spark, str(tmp_path / "o"), files).collect()} == want
