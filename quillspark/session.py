@@ -18,7 +18,7 @@ def build_session(master: str = "local[8]", name: str = "quillspark", **settings
     conf = {
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",  # a row of a plan is small, and work
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",  # a row of a plan is small, and work: bytes don't tell how many tasks it needs
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.driver.host": "127.0.0.1",
