@@ -69,7 +69,7 @@ def task_table(spark: SparkSession, raw: dict, specs: DataFrame, corpus: DataFra
     choices = of_filter.select(F.concat(F.lit("only "), "filter").alias("choice"), "resource_id", "score").unionByName(usable.select(F.lit("all").alias("choice"), "resource_id", "score"))
     spans = cut_lineage(resources.weighted_spans(choices, "choice"))
     s = specs.join(corpus, "corpus_file").select("spec_name", "text", "min_text_length", "max_text_length", F.coalesce(F.concat(F.lit("only "), "font_filter"), F.lit("all")).alias("choice"))
-    t = schedule.task_list(schedule.allocation(specs, n), n).join(s, "spec_name")
+    t = schedule.task_list(schedule.allocation(specs, n), n).hint("merge").join(s, "spec_name")  # taken for few, tasks would be broadcast
     t = t.select("idx", "spec_name", "choice", segment(F.col("text"), F.col("min_text_length"), F.col("max_text_length"), F.col("idx")).alias("text"))
     t = resources.pick_from_spans(t, "idx", spans, "choice", "font", "font_path").drop("choice")
     return resources.weighted_pick(t, "idx", resources.healthy(backgrounds, "background_path", scores), "background", "background_path")

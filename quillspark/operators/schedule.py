@@ -29,15 +29,27 @@ def allocation(specs: DataFrame, images: int) -> DataFrame:
 def task_list(allocated: DataFrame, images: int) -> DataFrame:
     """``batch_id, idx, spec_name``: in each round one task of every specification that has some left, in the order of names.
 
-    The index is the number of tasks in earlier rounds, counted per round, and the place within the round; so a task costs the
-    same however many specifications its batch has, and no batch is sorted as a whole.
+    Between two numbers of tasks that specifications have, all rounds are alike. So the tasks before such a run of rounds, and
+    places in its rounds, are found once for each run, and tasks are written out from them last, where they lie: nothing that has
+    a row for each task is sorted, joined or sent to the driver. A batch has no more rows than specifications and images before
+    that, and they are spread by runs.
     """
-    rounds = allocated.where("n_alloc > 0").select("batch_id", "spec_name", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_alloc"))).alias("round"))
-    counts = rounds.groupBy("batch_id", "round").agg(F.count("*").alias("k"))
-    before = running_total(counts, "round", {"upto": F.col("k")}, by=["batch_id"]).select("batch_id", "round", (F.col("upto") - F.col("k")).alias("before"))
-    place = F.row_number().over(Window.partitionBy("batch_id", "round").orderBy("spec_name")) - 1
-    placed = rounds.select("batch_id", "round", "spec_name", place.alias("place")).join(before, ["batch_id", "round"])
-    return placed.select("batch_id", (F.col("before") + F.col("place")).cast("bigint").alias("idx"), "spec_name").where(F.col("idx") < images)
+    some = allocated.where("n_alloc > 0")
+    batch = Window.partitionBy("batch_id")
+    up = batch.orderBy("upto")
+    counts = some.groupBy("batch_id", F.col("n_alloc").alias("upto")).agg(F.count("*").alias("n"))
+    runs = counts.select("batch_id", "upto", F.lag("upto", 1, 0).over(up).alias("done"), (F.sum("n").over(batch) - F.sum("n").over(up) + F.col("n")).alias("k"))
+    earlier = F.sum((F.col("upto") - F.col("done")) * F.col("k")).over(up.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select(F.col("batch_id").alias("_batch"), "upto", "done", "k", F.coalesce(earlier, F.lit(0)).alias("before")).where(F.col("before") < images)
+    of_spec = some.join(runs.hint("merge"), F.col("batch_id").eqNullSafe(F.col("_batch")) & (F.col("n_alloc") >= F.col("upto")))
+    # A run is a small row, and its tasks are many: bytes don't tell how many partitions they need.
+    spark = allocated.sparkSession
+    spread = of_spec.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "batch_id", "upto")
+    place = F.row_number().over(Window.partitionBy("batch_id", "upto").orderBy("spec_name")) - 1
+    first = spread.select("batch_id", "spec_name", (F.col("upto") - F.col("done")).alias("rounds"), "k", (F.col("before") + place).alias("first")).where(F.col("first") < images)
+    fit = F.least(F.col("rounds") - 1, F.floor((F.lit(images - 1) - F.col("first")) / F.col("k")).cast("bigint"))
+    each = first.select("batch_id", "spec_name", "first", "k", F.explode(F.sequence(F.lit(0).cast("bigint"), fit)).alias("round"))
+    return each.select("batch_id", (F.col("first") + F.col("round") * F.col("k")).cast("bigint").alias("idx"), "spec_name")
 
 
 def resume_from(tasks: DataFrame, start: int) -> DataFrame:

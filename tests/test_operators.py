@@ -34,6 +34,17 @@ def test_interleaving(spark):
     assert "".join(r["spec_name"] for r in schedule.task_list(a, 10).orderBy("idx").collect()) == "abcabcabaa"
 
 
+def test_tasks_are_not_broadcast(spark):
+    """Few rows become many tasks, so no estimate of their size holds; and a batch without an id is a batch."""
+    shares = {7: {"a": 4, "b": 1, "c": 4, "d": 0, "e": 2}, 8: {"a": 9, "b": 9, "c": 1}, None: {"a": 1, "b": 3}}
+    df = spark.createDataFrame([(b, n, k) for b, of in shares.items() for n, k in of.items()], "batch_id bigint, spec_name string, n_alloc bigint")
+    for images in (1, 3, 10, 14, 1000):
+        got = schedule.task_list(df, images)
+        tasks = {b: [n for _, _, n in sorted((r, n, n) for n, k in of.items() for r in range(k))][:images] for b, of in shares.items()}
+        assert sorted((str(r["batch_id"]), r["idx"], r["spec_name"]) for r in got.collect()) == sorted((str(b), i, n) for b, names in tasks.items() for i, n in enumerate(names))
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_repeated_specifications_count_once(spark):
     assert schedule.allocation(specs(spark, (0, "a", 1.0), (0, "a", 1.0)), 10).collect()[0]["n_alloc"] == 10
 
